@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from . import decontamination
+from . import chat, decontamination, html_text, mixing, secrets, topk
 
 QUERIES = {
+    "op1_chat_formatting": chat.op1_chat_formatting,
     "op6_benchmark_decontamination": decontamination.op6_benchmark_decontamination,
+    "op7_secret_scan": secrets.op7_secret_scan,
+    "op8_source_mixing": mixing.op8_source_mixing,
+    "op9_html_extraction": html_text.op9_html_extraction,
+    "op10_topk_search": topk.op10_topk_search,
 }
 ORACLES = {
+    "op1_chat_formatting": chat.SQL,
     "op6_benchmark_decontamination": decontamination.SQL,
+    "op8_source_mixing": mixing.SQL,
+    "op10_topk_search": topk.SQL,
 }
