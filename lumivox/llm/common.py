@@ -7,6 +7,7 @@ byte of a non-ASCII character belongs to a word.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,16 +30,18 @@ def arrow_rows(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     )
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage into ``spark.checkpoint.dir`` (set to a temporary folder only where unset, as in tests)."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = context.getConf().get("spark.checkpoint.dir", None)
-        if configured is None:
-            import tempfile
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="lumivox-checkpoint-"))
+    return context.getCheckpointDir()
+
 
-            configured = tempfile.mkdtemp(prefix="lumivox-checkpoint-")
-        context.setCheckpointDir(configured)
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage into the shared checkpoint folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -62,7 +65,8 @@ ALNUM[0x80:] = True
 _FOLD = np.arange(256)
 _FOLD[0x41:0x5B] += 32
 _RANDOM = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BYTE = _RANDOM[_FOLD]
+#: Fingerprint tables: with A-Z lower-cased, and by exact bytes.
+FOLDED, EXACT = _RANDOM[_FOLD], _RANDOM
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 _powers: dict[str, np.ndarray] = {}
@@ -132,8 +136,8 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, members: np.ndarray) -> t
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit fingerprints of words with A-Z lower-cased, equal for equal words wherever they stand.
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = FOLDED) -> np.ndarray:
+    """64-bit fingerprints of words, by default with A-Z lower-cased, equal for equal words wherever they stand.
 
     Two different words share one with probability about 2**-64; contracts that say
     "equal" hold up to that.
@@ -147,7 +151,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         up, down = _power(len(piece) + 1)
         sums = np.empty(len(piece) + 1, np.uint64)
         sums[0] = 0
-        np.cumsum(_BYTE[piece] * up[: len(piece)], out=sums[1:])
+        np.cumsum(table[piece] * up[: len(piece)], out=sums[1:])
         s = starts[first:end] - origin
         out[first:end] = (sums[ends[first:end] - origin] - sums[s]) * down[s]
         first = end
