@@ -198,6 +198,11 @@ LABELLED = np.array(
         (1, 1.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0, 0),
         (6, 1.0, 45, 0.0, 7, 1.0, 0, 0, 0, 0, 0),
         (8, 1.0, 6, 1.0, 5, 1.0, 0, 0, 1, 0, 0),
+        (1, 1.0, 1, 1.0, 19, 0.0, 0, 0, 0, 0, 0),
+        (2, 1.0, 2, 1.0, 80, 0.0, 0, 0, 0, 0, 0),
+        (12, 0.9, 60, 0.0, 3, 1.0, 0, 0, 0, 0, 0),
+        (20, 0.8, 40, 0.0, 25, 0.7, 0, 0, 0, 0, 0),
+        (4, 0.75, 90, 0.0, 50, 0.0, 0, 0, 0, 0, 0),
         # adverts, notices, sidebars, forms and reader comments in marked places
         (4, 0.0, 1, 1.0, 10, 0.0, 1, 0, 1, 0, 0),
         (12, 0.0, 2, 1.0, 14, 0.0, 1, 0, 1, 0, 0),
@@ -205,6 +210,10 @@ LABELLED = np.array(
         (30, 0.1, 80, 0.0, 12, 0.0, 1, 0, 0, 0, 0),
         (90, 0.0, 70, 0.0, 20, 0.0, 1, 0, 0, 0, 0),
         (5, 0.0, 60, 0.0, 0, 0.0, 1, 0, 0, 1, 0),
+        (20, 0.0, 20, 0.0, 20, 0.0, 1, 0, 0, 0, 0),
+        (60, 0.0, 10, 0.0, 30, 0.0, 1, 0, 0, 0, 0),
+        (35, 0.0, 2, 1.0, 80, 0.0, 1, 0, 0, 0, 0),
+        (12, 0.0, 0, 0.0, 6, 0.0, 1, 0, 0, 0, 0),
         # footers
         (14, 0.0, 80, 0.0, 0, 0.0, 1, 0, 1, 0, 0),
         (14, 0.3, 80, 0.0, 0, 0.0, 1, 0, 0, 0, 0),
@@ -213,7 +222,14 @@ LABELLED = np.array(
         (25, 0.0, 80, 0.0, 0, 0.0, 0, 0, 1, 0, 0),
         (60, 0.0, 3, 1.0, 10, 0.0, 0, 0, 1, 0, 0),
         (7, 0.0, 1, 1.0, 12, 0.0, 0, 0, 1, 1, 0),
+        (6, 0.0, 2, 0.5, 40, 0.0, 0, 0, 1, 0, 0),
+        (30, 0.0, 5, 0.0, 90, 0.0, 0, 0, 1, 0, 0),
+        (70, 0.0, 60, 0.0, 25, 0.1, 0, 0, 1, 0, 0),
+        (1, 0.0, 60, 0.0, 1, 0.0, 0, 0, 1, 0, 0),
+        (12, 0.0, 14, 0.0, 3, 0.0, 0, 0, 1, 0, 0),
         # lone short lines of pages without a marked article
+        (1, 0.0, 1, 1.0, 3, 0.5, 0, 0, 0, 0, 0),
+        (1, 0.0, 20, 0.0, 0, 0.0, 0, 0, 0, 0, 0),
         (2, 0.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0, 0),
         (3, 0.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0, 0),
         (4, 0.0, 3, 1.0, 2, 0.0, 0, 0, 0, 0, 0),
@@ -238,6 +254,14 @@ LABELLED = np.array(
         (6, 0.0, 1, 1.0, 40, 0.0, 0, 0, 0, 1, 1),
         (9, 0.0, 50, 0.0, 60, 0.0, 0, 0, 0, 1, 1),
         (200, 0.02, 9, 0.0, 0, 0.0, 0, 0, 0, 0, 1),
+        (20, 0.0, 1, 1.0, 20, 0.0, 0, 0, 0, 0, 1),
+        (40, 0.0, 120, 0.0, 80, 0.0, 0, 0, 0, 0, 1),
+        (90, 0.0, 200, 0.0, 10, 0.0, 0, 0, 0, 0, 1),
+        (20, 0.0, 20, 0.0, 0, 0.0, 0, 0, 0, 0, 1),
+        (35, 0.1, 2, 1.0, 3, 1.0, 0, 0, 0, 0, 1),
+        (15, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1),
+        (40, 0.2, 0, 0.0, 1, 1.0, 0, 0, 0, 0, 1),
+        (11, 0.0, 12, 0.0, 1, 1.0, 0, 0, 0, 0, 1),
     ]
 )
 
