@@ -1 +1 @@
-
+"""Plans: parameters, fixtures over the driver tables, registered queries and the stage runner."""
