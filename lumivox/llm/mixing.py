@@ -22,7 +22,7 @@ from .common import materialize, table
 #: Weights of the sources by code point, repeating; total share of all sizes; most times a source is taken.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 #: Bins of keys for each source.
-BINS = 65536
+BINS = 4096
 #: Up to this many sources their totals are broadcast (a few dozen bytes each); beyond, they are joined by shuffle.
 BROADCAST_SOURCES = 20_000
 
@@ -88,6 +88,12 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     )
 
 
+def small(by_source: DataFrame) -> DataFrame:
+    """A table of one row a source, cut from its lineage, and marked for broadcast if its counted rows allow that."""
+    by_source = materialize(by_source)
+    return F.broadcast(by_source) if by_source.count() <= BROADCAST_SOURCES else by_source
+
+
 def selection(keyed: DataFrame) -> DataFrame:
     """Per source: source_size, target, epochs and the last (key, tie, size) that the fractional part draws.
 
@@ -100,7 +106,7 @@ def selection(keyed: DataFrame) -> DataFrame:
     bin_of = F.floor((1 - F.exp(-F.col("key"))) * BINS).cast("long")
     slim = keyed.select("source", "size", "key", "tie", bin_of.alias("bin"))
     bins = slim.groupBy("source", "bin").agg(F.sum("size").alias("size"))
-    targets = source_targets(bins.groupBy("source").agg(F.sum("size").alias("source_size")))
+    targets = small(source_targets(bins.groupBy("source").agg(F.sum("size").alias("source_size"))))
     so_far = W.partitionBy("source").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
     edge = (
         bins.withColumn("before", F.coalesce(F.sum("size").over(so_far), F.lit(0)))
@@ -108,6 +114,7 @@ def selection(keyed: DataFrame) -> DataFrame:
         .filter((F.col("before") < F.col("budget")) & (F.col("before") + F.col("size") >= F.col("budget")))
         .select("source", "bin", "before", "budget")
     )
+    edge = small(edge)
     e = edge.select(F.col("source").alias("s"), F.col("bin").alias("b"), "before", "budget")
     inside = slim.join(e, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b")))
     order = W.partitionBy("source").orderBy("key", "tie", "size").rowsBetween(W.unboundedPreceding, 0)
@@ -145,9 +152,7 @@ def draw(keyed: DataFrame, extra: list[str]) -> DataFrame:
     plan = selection(
         keyed.select("source", F.col("_size").alias("size"), F.col("_key").alias("key"), F.col("_tie").alias("tie"))
     ).withColumnsRenamed({"source": "_source", "bin": "_bin", "last": "_last"})
-    plan = materialize(plan)
-    if plan.count() <= BROADCAST_SOURCES:
-        plan = F.broadcast(plan)
+    plan = small(plan)
     bin_of = F.floor((1 - F.exp(-F.col("_key"))) * BINS).cast("long")
     own = F.struct(F.col("_key").alias("key"), F.col("_tie").alias("tie"), F.col("_size").alias("size"))
     drawn = (bin_of < F.col("_bin")) | ((bin_of == F.col("_bin")) & (own <= F.col("_last")))

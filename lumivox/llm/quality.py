@@ -250,16 +250,13 @@ def train(texts: list[str], labels: np.ndarray, steps: int = 120, rate: float =
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, rows: int, chars: int) -> tuple[list[str], np.ndarray, list[str]]:
     """Texts, labels and languages of at most ``rows`` labelled documents of at most ``chars`` code points, held-out ones excluded.
 
-    The sample is the rows of the least hashes of doc_id, so it doesn't depend on the
-    order of the table.  Only ids are ranked; the texts of the chosen rows alone travel.
+    Half of the rows at most have either label.  The sample is those of the least hashes
+    of doc_id, so it doesn't depend on the order of the table.  Only ids are ranked; the
+    texts of the chosen rows alone travel.
     """
-    ids = (
-        labels.filter(F.col(column).isin(0, 1) & ~is_held_out())
-        .groupBy("doc_id")
-        .agg(F.max(column).alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
-    )
+    known = labels.filter(F.col(column).isin(0, 1) & ~is_held_out()).groupBy("doc_id").agg(F.max(column).alias("label"))
+    least = lambda k: known.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows // 2)
+    ids = least(0).unionByName(least(1))
     lang = F.col("lang") if "lang" in docs.columns else F.lit("")
     chosen = docs.select("doc_id", F.col("text").cast("string").alias("text"), lang.alias("lang")).join(F.broadcast(ids), "doc_id")
     chosen = chosen.filter(F.col("text").isNotNull() & (F.length("text") <= chars))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import materialize, table
 
 #: Vectors of a tree, entries of a page, children of a node, queries of a block.
-TREE, PAGE, FAN, BLOCK = 16_384, 128, 16, 512
+TREE, PAGE, FAN, BLOCK = 4096, 128, 16, 512
 SCALE = 1024
 #: Levels of nodes; what is still together below them shares a page.
 DEEPEST = 64

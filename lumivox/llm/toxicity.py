@@ -1,8 +1,9 @@
 """Toxicity: a convolutional text classifier in numpy with thresholds by language.
 
-Words are hashed to rows of an embedding table.  Filters of several widths slide over
-the words, each filter's maximum over the text (through a rectifier) feeds one linear
-unit.  A filter of width w is a sum of w products of an embedding with a slice of the
+A word is the sum of the embeddings that its hash and the hashes of its beginnings pick
+from one table, so inflections of a stem share what is learnt.  Filters of several
+widths slide over the words, each filter's maximum over the text (through a rectifier)
+feeds one linear unit.  A filter of width w is a sum of w products of an embedding with a slice of the
 filter, so for scoring the products are tabled once per bucket and a word costs a few
 look-ups.
 
@@ -20,14 +21,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import ALNUM, is_held_out, table, text_chunks, word_bounds, word_hashes
+from .common import ALNUM, is_held_out, mix, table, text_chunks, word_bounds, word_hashes
 from .decontamination import item_words
 from .quality import labelled_sample
 
 #: Bounds of the training sample: labelled rows, and code points of one of its documents.
-SAMPLE_ROWS, SAMPLE_CHARS = 12_000, 20_000
-BUCKETS, WIDTH_OF_WORD, FILTERS, WIDTHS = 1 << 15, 8, 8, (1, 2, 3)
+SAMPLE_ROWS, SAMPLE_CHARS = 10_000, 20_000
+BUCKETS, WIDTH_OF_WORD, FILTERS, WIDTHS = 1 << 16, 8, 8, (1, 2, 3)
+#: Bytes of the beginnings of a word that have hashes of their own.
+BEGINNINGS = (4, 5, 6, 7, 8, 9, 10)
 THRESHOLD = 0.5
+#: One in so many texts of the sample is left out of the fit, for the thresholds; the cost of a false alarm.
+CALIBRATION, FALSE_ALARM = 5, 2.0
 
 # Frequent function words by language; a text counts for the language with most of them.
 FUNCTION_WORDS = {
@@ -87,13 +92,14 @@ class TextCnn:
         counts = np.diff(first)
         for k, parts in enumerate(tables):
             width = len(parts)
-            total = len(buckets) - width + 1
+            total = len(buckets) - width + 1  # buckets: words x hashes
             long_enough = np.flatnonzero(counts >= width)
             if total <= 0 or not len(long_enough):
                 continue
-            response = parts[0][buckets[:total]]
-            for j in range(1, width):
-                response = response + parts[j][buckets[j : j + total]]
+            response = np.zeros((total, FILTERS), np.float32)
+            for j in range(width):
+                for column in range(buckets.shape[1]):
+                    response += parts[j][buckets[j : j + total, column]]
             # windows that cross into the next text are left out of its maximum
             begin, end = first[:-1][long_enough], first[1:][long_enough] - width + 1
             edges = np.column_stack([begin, np.minimum(end, total)]).ravel()
@@ -110,21 +116,31 @@ class TextCnn:
 def _fresh(seed: int) -> TextCnn:
     rng = np.random.default_rng(seed)
     return TextCnn(
-        rng.normal(0, 0.1, (BUCKETS, WIDTH_OF_WORD)),
+        rng.normal(0, 0.02, (BUCKETS, WIDTH_OF_WORD)),
         [rng.normal(0, 0.5, (FILTERS, w, WIDTH_OF_WORD)) for w in WIDTHS],
-        [np.zeros(FILTERS) for _ in WIDTHS],
+        [np.full(FILTERS, 0.1) for _ in WIDTHS],
         rng.normal(0, 0.3, len(WIDTHS) * FILTERS),
         0.0,
         np.zeros(len(LANGUAGES)),
     )
 
 
-def _hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def word_buckets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """words x (1 + beginnings): rows of the embedding table."""
+    out = [hashes]
+    for n in BEGINNINGS:
+        out.append(mix(word_hashes(data, starts, np.minimum(starts + n, ends)) + np.uint64(n)))
+    return (np.column_stack(out) % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def _hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets, word fingerprints and each text's first word."""
     blob = [t.encode() for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(b) for b in blob])]).astype(np.int64)
     data = np.frombuffer(b"".join(blob), np.uint8)
     starts, ends, first = word_bounds(data, offsets, ALNUM)
-    return word_hashes(data, starts, ends), first
+    hashes = word_hashes(data, starts, ends)
+    return word_buckets(data, starts, ends, hashes), hashes, first
 
 
 class _Adam:
@@ -138,7 +154,7 @@ class _Adam:
         value -= self.rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
 
 
-def train(texts: list[str], labels: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.01, seed: int = 4) -> TextCnn:
+def train(texts: list[str], labels: np.ndarray, epochs: int = 6, batch: int = 64, rate: float = 0.01, seed: int = 4) -> TextCnn:
     """Fit by minibatches of the logistic loss, classes weighing alike; then calibrate each language's threshold.
 
     The gradient flows through each filter's best window only, so embeddings get
@@ -150,25 +166,29 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 12, batch: int = 6
         model.out[:] = 0
         model.out_bias = 0.0 if len(texts) == 0 else (8.0 if labels[0] == 1 else -8.0)
         return model
-    hashes, first = _hashed(texts)
-    buckets = (hashes % np.uint64(BUCKETS)).astype(np.int64)
+    buckets, hashes, first = _hashed(texts)
     rng = np.random.default_rng(seed)
+    order = rng.permutation(len(texts))
+    aside = np.sort(order[: len(order) // CALIBRATION])  # the thresholds are set on texts that the fit hasn't seen
+    fitted = order[len(order) // CALIBRATION :]
     heft = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
     adam = _Adam(rate)
     seen = np.zeros(BUCKETS)  # squared gradients of the embeddings (Adagrad: they are updated sparsely)
     for _ in range(epochs):
-        order = rng.permutation(len(texts))
-        for at in range(0, len(order), batch):
-            _step(model, [buckets[first[i] : first[i + 1]] for i in order[at : at + batch]], labels[order[at : at + batch]], heft[order[at : at + batch]], adam, seen)
-    _calibrate(model, buckets, hashes, first, labels)
+        fitted = rng.permutation(fitted)
+        for at in range(0, len(fitted), batch):
+            some = fitted[at : at + batch]
+            _step(model, [buckets[first[i] : first[i + 1]] for i in some], labels[some], heft[some], adam, seen)
+    logits = model.logits(buckets, first, model.tables())
+    _calibrate(model, logits[aside], languages(hashes, first)[aside], labels[aside])
     return model
 
 
 def _step(model: TextCnn, docs: list[np.ndarray], labels: np.ndarray, heft: np.ndarray, adam: _Adam, seen: np.ndarray) -> None:
     counts = np.array([len(d) for d in docs])
-    words = np.concatenate(docs) if counts.sum() else np.zeros(0, np.int64)
+    words = np.concatenate(docs)
     first = np.concatenate([[0], np.cumsum(counts)])
-    vectors = model.embedding[words]
+    vectors = model.embedding[words].sum(axis=1)
     n, hidden = len(docs), np.zeros((len(docs), len(WIDTHS) * FILTERS))
     where = np.full((len(docs), len(WIDTHS) * FILTERS), -1)
     for k, (w, filters) in enumerate(zip(WIDTHS, model.filters)):
@@ -186,7 +206,7 @@ def _step(model: TextCnn, docs: list[np.ndarray], labels: np.ndarray, heft: np.n
     p = 1 / (1 + np.exp(-(hidden @ model.out + model.out_bias)))
     delta = (p - labels) * heft / n
     upstream = delta[:, None] * model.out
-    touched: dict[int, np.ndarray] = {}
+    touched, forces = [], []
     for k, w in enumerate(WIDTHS):
         gradient, bias = np.zeros_like(model.filters[k]), np.zeros(FILTERS)
         rows, columns = np.nonzero(where[:, k * FILTERS : (k + 1) * FILTERS] >= 0)
@@ -195,26 +215,28 @@ def _step(model: TextCnn, docs: list[np.ndarray], labels: np.ndarray, heft: np.n
         np.add.at(bias, columns, force)
         for j in range(w):
             np.add.at(gradient[:, j], columns, force[:, None] * vectors[spots + j])
-            back = force[:, None] * model.filters[k][columns, j]
-            for word, g in zip(words[spots + j].tolist(), back):
-                touched[word] = touched[word] + g if word in touched else g
+            touched.append(words[spots + j])
+            forces.append(force[:, None] * model.filters[k][columns, j])
         adam.step(("filter", k), model.filters[k], gradient)
         adam.step(("bias", k), model.bias[k], bias)
     adam.step("out", model.out, hidden.T @ delta)
     scalar = np.array([model.out_bias])
     adam.step("out_bias", scalar, np.array([delta.sum()]))
     model.out_bias = float(scalar[0])
-    if touched:
-        index = np.fromiter(touched, np.int64, len(touched))
-        gradient = np.array([touched[i] for i in index.tolist()])
+    rows = np.concatenate(touched)
+    if len(rows):
+        index, inverse = np.unique(rows, return_inverse=True)
+        gradient = np.zeros((len(index), WIDTH_OF_WORD))
+        np.add.at(gradient, inverse.ravel(), np.repeat(np.concatenate(forces), rows.shape[1], axis=0))
         seen[index] += (gradient**2).mean(axis=1)
         model.embedding[index] -= 0.1 * gradient / (np.sqrt(seen[index])[:, None] + 1e-8)
 
 
-def _calibrate(model: TextCnn, buckets: np.ndarray, hashes: np.ndarray, first: np.ndarray, labels: np.ndarray) -> None:
-    """Each language's shift: the logit that divides its training texts best, from those both labels have."""
-    logits = model.logits(buckets, first, model.tables())
-    own = languages(hashes, first)
+def _calibrate(model: TextCnn, logits: np.ndarray, own: np.ndarray, labels: np.ndarray) -> None:
+    """Each language's shift: the logit that divides its texts at the least cost, where both labels occur.
+
+    A false alarm costs FALSE_ALARM times what a miss of the same share of its class does.
+    """
     for k in range(len(LANGUAGES)):
         chosen = own == k
         x, y = logits[chosen], labels[chosen]
@@ -222,11 +244,11 @@ def _calibrate(model: TextCnn, buckets: np.ndarray, hashes: np.ndarray, first: n
             continue
         order = np.argsort(x)
         x, y = x[order], y[order]
-        # errors if the threshold lies below x[i]: toxic texts under it and others from it on, classes alike
+        # cost if the threshold lies below x[i]: toxic texts under it and others from it on
         missed = np.concatenate([[0], np.cumsum(y)]) / y.sum()
         false = np.concatenate([[0], np.cumsum(1 - y)])
-        wrong = missed + (false[-1] - false) / (len(y) - y.sum())
-        best = np.flatnonzero(wrong == wrong.min())
+        cost = missed + FALSE_ALARM * (false[-1] - false) / (len(y) - y.sum())
+        best = np.flatnonzero(cost == cost.min())
         low = x[max(best[0] - 1, 0)]
         high = x[min(best[-1], len(x) - 1)]
         model.shift[k] = (low + high) / 2
@@ -248,7 +270,7 @@ def score_toxicity(docs: DataFrame, model: TextCnn, threshold: float = THRESHOLD
             for _, _, data, offsets in text_chunks(batch.column("text").cast(pa.string())):
                 starts, ends, first = word_bounds(data, offsets, ALNUM)
                 hashes = word_hashes(data, starts, ends)
-                logit = model.logits((hashes % np.uint64(BUCKETS)).astype(np.int64), first, tables)
+                logit = model.logits(word_buckets(data, starts, ends, hashes), first, tables)
                 logit = logit - model.shift[languages(hashes, first)]
                 scores.append(1 / (1 + np.exp(-np.clip(logit, -60, 60))))
             score = np.concatenate(scores).astype(float) if scores else np.zeros(0)

@@ -122,13 +122,13 @@ def test_toxicity_held_out(spark):
 def test_convolution_tables_equal_the_plain_convolution():
     model = toxicity._fresh(1)
     rng = np.random.default_rng(2)
-    docs_ = [rng.integers(0, toxicity.BUCKETS, n) for n in (0, 1, 2, 3, 40)]
+    docs_ = [rng.integers(0, toxicity.BUCKETS, (n, 1 + len(toxicity.BEGINNINGS))) for n in (0, 1, 2, 3, 40)]
     first = np.concatenate([[0], np.cumsum([len(x) for x in docs_])])
     got = model.pooled(np.concatenate(docs_), first, model.tables())
     for row, words in enumerate(docs_):
         for k, f in enumerate(model.filters):
             w = f.shape[1]
-            spans = [sum(model.embedding[words[i + j]] @ f[:, j].T for j in range(w)) for i in range(len(words) - w + 1)]
+            spans = [sum(model.embedding[words[i + j]].sum(axis=0) @ f[:, j].T for j in range(w)) for i in range(len(words) - w + 1)]
             want = np.maximum(np.max(spans, axis=0), 0) if spans else np.zeros(toxicity.FILTERS)
             assert np.allclose(got[row, k * toxicity.FILTERS : (k + 1) * toxicity.FILTERS], want, atol=1e-4)
 
