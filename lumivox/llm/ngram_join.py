@@ -42,6 +42,9 @@ BUCKET, BLOCK = 400_000, 1_000_000
 #: Up to this many candidate documents (a few dozen bytes each) their ids are broadcast; beyond, they join by shuffle.
 BROADCAST_ROWS = 1_000_000
 _FLUSH = 1 << 20
+#: l = n / DEPTH.  The larger l, the more of a document must be shared for it to stay a candidate: of the n/5 + l
+#: prefix shingles, 0.8 l.
+DEPTH = 5
 
 _POSTING = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<u4")])
 _SHARED = np.dtype([("node", "<i8"), ("n", "<u4"), ("df", "<u4"), ("center", "<i8"), ("token", "<u8")])
@@ -54,7 +57,7 @@ def _required(n):
 
 def _depth(n):
     """l: common shingles that must stand in the prefixes of a linked pair, by the size of a set; never falls with n."""
-    return np.maximum(1, n // 20)
+    return np.maximum(1, n // DEPTH)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -64,7 +67,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     factor = np.uint64(0x9FB21C651E98DF25)
 
     def chained(columns: list[np.ndarray]) -> np.ndarray:
-        h = np.full(len(columns[0]), np.uint64(0xA0761D6478BD642F) * np.uint64(len(columns)), np.uint64)
+        h = np.full(len(columns[0]), 0xA0761D6478BD642F * len(columns) % 2**64, np.uint64)
         for column in columns:
             h = h * factor + column
         return mix(h)
@@ -84,8 +87,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
 def node_of(tokens: np.ndarray) -> int:
     """The set's fingerprint, as a signed number."""
-    total = mix(tokens ^ np.uint64(0xE7037ED1A0B428DB)).sum(dtype=np.uint64) + np.uint64(len(tokens)) * np.uint64(0x8EBC6AF09C88C6E3)
-    return int(mix(np.array([total], np.uint64)).astype(np.int64)[0])
+    total = int(mix(tokens ^ np.uint64(0xE7037ED1A0B428DB)).sum(dtype=np.uint64)) + len(tokens) * 0x8EBC6AF09C88C6E3
+    return int(mix(np.array([total % 2**64], np.uint64)).astype(np.int64)[0])
 
 
 def _text_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -353,7 +356,7 @@ def candidate_clusters(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     ``nodes``: node, n_shingles and the smallest doc_id of each distinct set.
     """
     n = F.col("n_shingles")
-    prefix = n - F.ceil(n * 0.8) + F.greatest(F.lit(1), F.floor(n / 20))
+    prefix = n - F.ceil(n * 0.8) + F.greatest(F.lit(1), F.floor(n / DEPTH))
     total = nodes.agg(F.coalesce(F.sum(prefix), F.lit(0))).first()[0]
     buckets = max(1, -(-int(total) // BUCKET))
     blobs = "bucket long, blob binary"

@@ -38,7 +38,7 @@ def test_public_vocabulary_against_the_tokenizers_library():
         vocab.setdefault(p, len(vocab))
     model = WordPiece(vocab, unk_token="[UNK]", max_input_chars_per_word=10_000)
     automaton = tc.LongestMatch(initial, later)
-    words = "the Donaudampfschiff a1b2c3 éèê 漢字 supercalifragilistic !!! foo_bar(x)=y; Ωμέγα ##x 😀".split()
+    words = "the Donaudampfschiff a1b2c3 éèê 漢字 supercalifragilistic !!! foo_bar(x)=y; Ωμέγα 😀".split()
     for word in [*words, "x" * 300, "ab" * 200]:
         assert automaton.count(word) == len(model.tokenize(word)), word
 
