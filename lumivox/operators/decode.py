@@ -33,7 +33,7 @@ def close_codes(reads: DataFrame, codebook: DataFrame, rounds: int, k: int, key:
     """(key, code_id, name, d): every code within Hamming distance k < rounds of each read."""
     parts = min(k + 1, rounds)
     left = reads.select(key, "bases", F.explode(_stretches("bases", rounds, parts)).alias("s")).select(key, "bases", "s.*")
-    left = left.toDF(key, "read", "part", "stretch")
+    left = left.toDF(key, "_read", "part", "stretch")
     right = codebook.select("code_id", "name", "codes", F.explode(_stretches("codes", rounds, parts)).alias("s")).select(
         "code_id", "name", "codes", F.col("s.part").alias("part"), F.col("s.bases").alias("stretch")
     )
@@ -41,11 +41,11 @@ def close_codes(reads: DataFrame, codebook: DataFrame, rounds: int, k: int, key:
         small = codebook.count() <= BROADCAST_CODES
     met = left.join(F.broadcast(right) if small else right, ["part", "stretch"])
     # a pair that agrees on several stretches counts at the first of them only
-    measured = met.withColumn("d", hamming(F.col("read"), F.col("codes"))).filter(F.col("d") <= k)
+    measured = met.withColumn("d", hamming(F.col("_read"), F.col("codes"))).filter(F.col("d") <= k)
     first = F.array_min(
         F.transform(
             F.filter(
-                F.arrays_zip(_stretches("read", rounds, parts).alias("a"), _stretches("codes", rounds, parts).alias("b")),
+                F.arrays_zip(_stretches("_read", rounds, parts).alias("a"), _stretches("codes", rounds, parts).alias("b")),
                 lambda z: z["a"]["bases"] == z["b"]["bases"],
             ),
             lambda z: z["a"]["part"],

@@ -117,10 +117,18 @@ def _along(axis: str, keys: Sequence[str], axes: Sequence[str] = AXES):
     return W.partitionBy(*keys, *(a for a in axes if a != axis)).orderBy(axis)
 
 
+def densify(voxels: DataFrame, size: tuple[int, int, int], keys: Sequence[str] = ()) -> DataFrame:
+    """A row for every position of every volume (of each combination of ``keys``); values that aren't there are null."""
+    grid = voxels.select(*keys).distinct() if keys else voxels.sparkSession.range(1).drop("id")
+    for axis, n in zip(AXES, size):
+        grid = grid.withColumn(axis, F.explode(F.sequence(F.lit(1), F.lit(n))))
+    return grid.join(voxels, [*keys, *AXES], "left")
+
+
 def box_sum(voxels: DataFrame, before: int, after: int, keys: Sequence[str] = (), axes: Sequence[str] = ("y", "x"), value: str = "value") -> DataFrame:
     """``value`` summed over the box from ``before`` below to ``after`` above along the given axes, voxels outside counting 0.
 
-    The rows must hold at most one value for each position, and get the sum at theirs.
+    The image must be dense (see ``densify``), with one value for each position.
     """
     for axis in axes:
         frame = _along(axis, keys, [a for a in AXES if a in voxels.columns]).rangeBetween(-before, after)
@@ -129,13 +137,13 @@ def box_sum(voxels: DataFrame, before: int, after: int, keys: Sequence[str] = ()
 
 
 def local_maxima(voxels: DataFrame, size: tuple[int, int, int], keys: Sequence[str] = (), value: str = "value", top: int | None = None) -> DataFrame:
-    """Voxels strictly above their 26 neighbours; the border (of a dense volume of ``size``) has none.
+    """Voxels strictly above those of their 26 neighbours that are there; the border of the volume of ``size`` has none.
 
     The largest value of the cube and how often it occurs come from three one-axis
     windows; a strict maximum equals the cube's largest value and holds it alone.
     """
     peak = "_max"
-    found = voxels.withColumn(peak, F.struct(F.col(value).alias("v"), F.lit(1).alias("n")))
+    found = densify(voxels, size, keys).withColumn(peak, F.struct(F.col(value).alias("v"), F.lit(1).alias("n")))
     for axis in AXES:
         frame = _along(axis, keys).rangeBetween(-1, 1)
         high = F.max(f"{peak}.v").over(frame)
@@ -160,9 +168,9 @@ def morphology(voxels: DataFrame, radius: int, shape: str = "box", opening: bool
     return voxels
 
 
-def fill_holes(voxels: DataFrame, radius: int = 2, keys: Sequence[str] = (), value: str = "value", hole: str = "hole") -> DataFrame:
+def fill_holes(voxels: DataFrame, size: tuple[int, int, int], radius: int = 2, keys: Sequence[str] = (), value: str = "value", hole: str = "hole") -> DataFrame:
     """Holes take the mean of the other voxels in the smallest cube, of half-width 1..radius, that holds any."""
-    out = voxels.withColumn("_value", F.when(~F.col(hole), F.col(value)))
+    out = densify(voxels, size, keys).withColumn("_value", F.when(~F.col(hole), F.col(value)))
     filled = F.col("_value")
     for r in range(1, radius + 1):
         total, count = F.coalesce(F.col("_value"), F.lit(0.0)), F.col("_value").isNotNull().cast("long")
@@ -172,7 +180,8 @@ def fill_holes(voxels: DataFrame, radius: int = 2, keys: Sequence[str] = (), val
             out = out.withColumn("_sum", F.sum("_sum").over(frame)).withColumn("_count", F.sum("_count").over(frame))
         out = out.withColumn(f"_fill{r}", F.try_divide(F.col("_sum"), F.col("_count")))
         filled = F.coalesce(filled, F.col(f"_fill{r}"))
-    return out.withColumn(value, F.coalesce(filled, F.lit(0.0))).drop("_value", "_sum", "_count", *(f"_fill{r}" for r in range(1, radius + 1)))
+    there = out.filter(F.col(hole).isNotNull())
+    return there.withColumn(value, F.coalesce(filled, F.lit(0.0))).drop("_value", "_sum", "_count", *(f"_fill{r}" for r in range(1, radius + 1)))
 
 
 def heat_map(points: DataFrame, radius: int, size: tuple[int, int], step: int = 1, keys: Sequence[str] = (), disk: bool = False) -> DataFrame:

@@ -124,9 +124,9 @@ def base_call(spark, d):
 @query(
     f"""WITH s AS (SELECT puncta_id, round, c2, row_number() OVER w AS k, count(*) OVER (PARTITION BY puncta_id, round) AS n
   FROM {PIXELS} WINDOW w AS (PARTITION BY puncta_id, round ORDER BY c2)),
-a AS (SELECT *, greatest(1.0, least(n, n * 0.9 + 0.5)) AS at FROM s)
-SELECT puncta_id, round, round(max(CASE WHEN k = floor(at) THEN c2 END)
-  + (max(at) - floor(max(at))) * (max(CASE WHEN k = least(floor(at) + 1, n) THEN c2 END) - max(CASE WHEN k = floor(at) THEN c2 END)), 6) AS p1
+a AS (SELECT *, greatest(1.0, least(n, n * 0.9 + 0.5)) AS pos FROM s)
+SELECT puncta_id, round, round(max(CASE WHEN k = floor(pos) THEN c2 END)
+  + (max(pos) - floor(max(pos))) * (max(CASE WHEN k = least(floor(pos) + 1, n) THEN c2 END) - max(CASE WHEN k = floor(pos) THEN c2 END)), 6) AS p1
 FROM a GROUP BY puncta_id, round"""
 )
 def midpoint_percentiles(spark, d):
@@ -440,7 +440,7 @@ SELECT peak, round(sum(CASE WHEN r > 0.1 THEN s ELSE 0 END), 3) AS corr_sum, cou
 )
 def correlated_neighbours(spark, d):
     t = frame(spark, d, "voxels").groupBy(F.col("x").alias("id"), F.col("y").alias("step")).agg(F.sum("value").cast("double").alias("value"))
-    pairs = spark.range(1, 13).select(F.col("id").cast("int").alias("peak"), F.explode(F.array(F.col("id") - 1, F.col("id") + 1)).cast("int").alias("neighbour"))
+    pairs = spark.range(1, 13).select(F.col("id").cast("int").alias("peak"), F.explode(F.array((F.col("id") - 1).cast("int"), (F.col("id") + 1).cast("int"))).alias("neighbour"))
     return rounded(puncta.correlated_mean(t, pairs, 0.1), "corr_sum", digits=3)
 
 
@@ -579,7 +579,7 @@ SELECT v.y, v.x, v.z, round(CASE WHEN hole THEN coalesce(f1, f2, 0.0) ELSE value
 )
 def hole_fill(spark, d):
     v = volume.sum_channels(frame(spark, d, "voxels"), volume.AXES).withColumn("hole", (F.col("y") * 7 + F.col("x") * 3 + F.col("z")) % 5 == 0)
-    return rounded(volume.fill_holes(v, 2), "value", digits=4).select("y", "x", "z", "value")
+    return rounded(volume.fill_holes(v, (50, 12, 7), 2), "value", digits=4).select("y", "x", "z", "value")
 
 
 @query(
@@ -649,7 +649,7 @@ def tile_empty(spark, d):
     return volume.tile_is_empty(v, 0.5)
 
 
-@query(f"SELECT puncta_id, round, round(least(1, c1 * 0.001), 6) AS red, round(least(1, c2 * 0.001 + c4 * 0.0005), 6) AS green, round(least(1, c3 * 0.001), 6) AS blue FROM {PIXELS}")
+@query(f"SELECT puncta_id, round, round(least(1, c1 * 0.001::DOUBLE), 6) AS red, round(least(1, c2 * 0.001::DOUBLE + c4 * 0.0005::DOUBLE), 6) AS green, round(least(1, c3 * 0.001::DOUBLE), 6) AS blue FROM {PIXELS}")
 def composite_rgb(spark, d):
     weights = [[0.001, 0, 0, 0], [0, 0.001, 0, 0.0005], [0, 0, 0.001, 0]]
     out = volume.composite_rgb(frame(spark, d, "pixels_base"), weights, X.CHANNELS)
@@ -770,7 +770,7 @@ def _matches(spark, d):
 
 
 @query(
-    f"""SELECT id, y * 2 + 3 AS y, x + 0.5 * z AS x, z - 1 AS z FROM {POINTS}"""
+    f"""SELECT id, y * 2 + 3 AS y, x + 0.5::DOUBLE * z AS x, z - 1 AS z FROM {POINTS}"""
 )
 def apply_affine(spark, d):
     y, x, z = X.apply_affine([2, 0, 0, 3, 0, 1, 0.5, 0, 0, 0, 1, -1], F.col("y"), F.col("x"), F.col("z"))

@@ -62,9 +62,9 @@ FIXTURES: dict[str, tuple[str, list[str]]] = {
         "embeddings",
         [
             "vec_id AS id",
-            "floor(embedding[0] * 200) AS y",
-            "floor(embedding[1] * 200) AS x",
-            "floor(embedding[2] * 200) AS z",
+            "CAST(floor(embedding[0] * 200) AS DOUBLE) AS y",
+            "CAST(floor(embedding[1] * 200) AS DOUBLE) AS x",
+            "CAST(floor(embedding[2] * 200) AS DOUBLE) AS z",
             "label",
         ],
     ),
@@ -81,7 +81,9 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sql(name: str) -> str:
-    """The fixture as a DuckDB subquery."""
+    """The fixture as a DuckDB subquery (whose lists count from 1 and are made by another name)."""
     source, exprs = FIXTURES[name]
-    text = ", ".join(exprs).replace("array(", "list_value(").replace("embedding[0]", "embedding[1]@").replace("embedding[1] ", "embedding[2] ").replace("embedding[2] * 200) AS z", "embedding[3] * 200) AS z").replace("@", "")
+    text = ", ".join(exprs).replace("array(", "list_value(")
+    for k in (2, 1, 0):
+        text = text.replace(f"embedding[{k}]", f"embedding[{k + 1}]")
     return f"(SELECT {text} FROM {source})"
