@@ -65,7 +65,9 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     their targets are 1.5 times all sizes; a target stops at twice its source's size
     and the excess goes to the others by weight, until none is above: target =
     min(cap, level * weight).  The level is found in closed form: sources fill up in
-    the order of cap / weight, and it is the first remainder that tops no further cap.
+    the order of cap / weight; as long as they do, what is left for each unit of weight
+    rises, and from the first that doesn't it falls, so it is the largest remainder
+    that stays under its own source's cap.
     """
     n = len(WEIGHTS)
     order = W.orderBy(F.col("source").asc_nulls_last())
@@ -78,7 +80,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     left = SHARE * F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
     heft = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     levels = weighed.withColumn("level", left / heft)
-    first = F.min(F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level"))).over(everything)
+    first = F.max(F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level"))).over(everything)
     target = F.least("cap", F.coalesce(first, F.lit(float("inf"))) * F.col("weight"))
     return (
         levels.withColumn("target", target)
@@ -184,7 +186,7 @@ w AS (SELECT *, 2 * source_size AS cap,
 l AS (SELECT *, (1.5 * sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0))
         / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level FROM w
       WINDOW b AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-t AS (SELECT *, least(cap, coalesce(min(level) FILTER (WHERE level <= cap / weight) OVER (), 'infinity'::DOUBLE) * weight) AS target
+t AS (SELECT *, least(cap, coalesce(max(level) FILTER (WHERE level <= cap / weight) OVER (), 'infinity'::DOUBLE) * weight) AS target
       FROM l),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t),
 o AS (SELECT d.*, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS budget,
