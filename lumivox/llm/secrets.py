@@ -10,8 +10,9 @@ letters and digits.  The encoding (hex, base32, base36, base62, base64) is infer
 from the characters that occur.  Three tests ask whether the token could be random in
 that alphabet: chi-squared for uniformity, runs about the middle of the alphabet, and
 lag-1 serial correlation; a token that any of them rejects (Bonferroni) is no secret.
-What is left must be unlike prose: the digits that prose of that length would hold at
-random bound a p-value (Chernoff), and the Benjamini-Hochberg procedure, run over the
+What is left must be unlike prose: the digits and capitals that prose of that length
+would hold at random bound a p-value (Chernoff; tokens without a lower-case letter or
+separator may be headings and get p = 1), and the Benjamini-Hochberg procedure, run over the
 whole table within classes of length, decides which tokens are reported.
 """
 
@@ -32,8 +33,8 @@ ASSIGN_LEAST = 12
 KINDS = ("assign", "access", "hex", "random")
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 
-#: Level of each token's battery, of the false-discovery control, and digits among the characters of prose.
-REJECT, FDR, PROSE_DIGITS = 0.001, 0.01, 0.05
+#: Level of each token's battery, of the false-discovery control, and share of digits and capitals in the words of prose.
+REJECT, FDR, PROSE_MARKED = 0.001, 0.01, 0.05
 #: Lower ends of the length classes of the false-discovery control; bins of -log10 p are 0.1 wide, up to 30.
 LENGTHS = (20, 32, 64, 128)
 BINS = 300
@@ -104,45 +105,57 @@ def _codes(token: Column) -> Column:
 
 
 def token_tests(token: Column) -> Column:
-    """struct<n, digits, random, p>: p of the battery under randomness and the bound under prose."""
-    coded = _codes(token)
+    """struct<n, random, bin>: length, p of the battery under randomness, and -log10 p under prose in tenths.
 
-    def tests(c: Column) -> Column:
+    Each character is looked at a fixed number of times, so long tokens cost in
+    proportion to their length.
+    """
+
+    def sums(c: Column) -> Column:
         codes, k = c["codes"], c["k"].cast("double")
-        n = F.size(codes).cast("double")
         total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x.cast("double"))
-        # chi-squared: the squared counts are summed by letting every character count its equals
+        n = F.size(codes)
+        pairs = F.arrays_zip(F.slice(codes, F.lit(1), n - 1).alias("a"), F.slice(codes, F.lit(2), n - 1).alias("b"))
+        high = lambda x: x >= k / 2
         counts = F.transform(F.array_distinct(codes), lambda x: F.size(F.filter(codes, lambda y: y == x)))
-        chi = k / n * total(F.transform(counts, lambda o: o * o)) - n
-        uniform = (chi - (k - 1)) / F.sqrt(2 * (k - 1) * (1 - 1 / n))
-        p_uniform = F.when(uniform > 0, _tail(uniform)).otherwise(1 - _tail(uniform))
-        # runs about the middle of the alphabet
-        high = total(F.transform(codes, lambda x: (x >= k / 2).cast("int")))
-        pairs = F.zip_with(F.slice(codes, F.lit(1), F.size(codes) - 1), F.slice(codes, F.lit(2), F.size(codes) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        runs = 1 + total(F.transform(pairs, lambda q: ((q["a"] >= k / 2) != (q["b"] >= k / 2)).cast("int")))
-        both = 2 * high * (n - high)
-        spread = both * (both - n) / (n * n * (n - 1))
-        p_runs = F.when(spread > 0, 2 * _tail((runs - 1 - both / n) / F.sqrt(spread))).otherwise(F.lit(0.0))
-        # lag-1 serial correlation
-        mean = total(codes) / n
-        variance = total(F.transform(codes, lambda x: (x - mean) * (x - mean)))
-        together = total(F.transform(pairs, lambda q: (q["a"] - mean) * (q["b"] - mean)))
-        p_serial = F.when(variance > 0, 2 * _tail((together / variance + 1 / n) * F.sqrt(n))).otherwise(F.lit(0.0))
         return F.struct(
-            n.cast("int").alias("n"), F.least(F.lit(1.0), 3 * F.least(p_uniform, p_runs, p_serial)).alias("random")
+            n.cast("double").alias("n"),
+            k.alias("k"),
+            total(codes).alias("x"),
+            total(F.transform(codes, lambda x: x * x)).alias("xx"),
+            total(F.transform(pairs, lambda q: q["a"] * q["b"])).alias("xy"),
+            (F.element_at(codes, 1) + F.element_at(codes, -1)).cast("double").alias("ends"),
+            total(F.transform(codes, lambda x: high(x).cast("int"))).alias("high"),
+            total(F.transform(pairs, lambda q: (high(q["a"]) != high(q["b"])).cast("int"))).alias("turns"),
+            total(F.transform(counts, lambda o: o * o)).alias("squares"),
         )
 
-    tested = F.transform(F.array(coded), tests)[0]
-    n = F.length(token).cast("double")
-    digits = F.length(F.regexp_replace(token, "[^0-9]", "")).cast("double")
-    share = digits / n
-    divergence = share * F.log(share / PROSE_DIGITS) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - PROSE_DIGITS))).otherwise(F.lit(0.0))
-    log10 = F.when(share > PROSE_DIGITS, n * divergence / 2.302585092994046).otherwise(F.lit(0.0))
-    return F.struct(
-        F.length(token).alias("n"),
-        tested["random"].alias("random"),
-        F.least(F.floor(log10 * 10), F.lit(BINS)).cast("int").alias("bin"),
-    )
+    def battery(s: Column) -> Column:
+        n, k = s["n"], s["k"]
+        chi = k / n * s["squares"] - n
+        uniform = F.try_divide(chi - (k - 1), F.sqrt(2 * (k - 1) * (1 - 1 / n)))
+        p_uniform = F.when(uniform > 0, _tail(uniform)).otherwise(F.lit(1.0))
+        # runs about the middle of the alphabet: their number less one is that of the turns
+        both = 2 * s["high"] * (n - s["high"])
+        spread = F.try_divide(both * (both - n), n * n * (n - 1))
+        p_runs = F.when(spread > 0, 2 * _tail((s["turns"] - both / n) / F.sqrt(spread))).otherwise(F.lit(0.0))
+        # lag-1 serial correlation
+        mean = s["x"] / n
+        variance = s["xx"] - n * mean * mean
+        together = s["xy"] - mean * (2 * s["x"] - s["ends"]) + (n - 1) * mean * mean
+        p_serial = F.when(variance > 1e-9, 2 * _tail((together / variance + 1 / n) * F.sqrt(n))).otherwise(F.lit(0.0))
+        return F.least(F.lit(1.0), 3 * F.least(p_uniform, p_runs, p_serial))
+
+    once = lambda value, f: F.transform(F.array(value), f)[0]  # noqa: E731  evaluates ``value`` a single time
+    random = once(once(_codes(token), sums), battery)
+
+    def prose(share: Column) -> Column:
+        far = share * F.log(share / PROSE_MARKED) + (1 - share) * F.log((1 - share) / (1 - PROSE_MARKED))
+        log10 = F.when((share > PROSE_MARKED) & (share < 1), F.length(token) * far / 2.302585092994046).otherwise(F.lit(0.0))
+        return F.least(F.floor(log10 * 10), F.lit(BINS)).cast("int")
+
+    marked = F.length(F.regexp_replace(token, "[^0-9A-Z]", "")).cast("double")
+    return F.struct(F.length(token).alias("n"), random.alias("random"), once(marked / F.length(token), prose).alias("bin"))
 
 
 def _length_class(n: Column) -> Column:
