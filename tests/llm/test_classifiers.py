@@ -129,7 +129,7 @@ def test_convolution_tables_equal_the_plain_convolution():
         for k, f in enumerate(model.filters):
             w = f.shape[1]
             spans = [sum(model.embedding[words[i + j]].sum(axis=0) @ f[:, j].T for j in range(w)) for i in range(len(words) - w + 1)]
-            want = np.maximum(np.max(spans, axis=0), 0) if spans else np.zeros(toxicity.FILTERS)
+            want = np.maximum(np.max(spans, axis=0) + model.bias[k], 0) if spans else np.zeros(toxicity.FILTERS)
             assert np.allclose(got[row, k * toxicity.FILTERS : (k + 1) * toxicity.FILTERS], want, atol=1e-4)
 
 
