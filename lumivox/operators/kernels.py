@@ -46,7 +46,8 @@ def separable(volume: np.ndarray, weights: Sequence[np.ndarray], mode: str = "sy
 def fft_convolve(a: np.ndarray, b: np.ndarray, shape: str = "full") -> np.ndarray:
     """Linear convolution by FFT: ``full``, ``same`` (centre, as large as ``a``) or ``valid``."""
     full = [x + y - 1 for x, y in zip(a.shape, b.shape)]
-    out = np.fft.irfftn(np.fft.rfftn(a, full) * np.fft.rfftn(b, full), full)
+    axes = range(a.ndim)
+    out = np.fft.irfftn(np.fft.rfftn(a, full, axes) * np.fft.rfftn(b, full, axes), full, axes)
     if shape == "full":
         return out
     if shape == "same":
@@ -220,14 +221,14 @@ def phase_shift(base: np.ndarray, move: np.ndarray, reach: Sequence[int]) -> tup
 
 
 def harris(volume: np.ndarray, blur: int = 5, kappa: float = 1 / 27, quantile: float = 0.99, share: float = 0.01) -> np.ndarray:
-    """(y, x, z) from 0 of corners: det - kappa trace^3 of the smoothed gradient products, non-maxima suppressed."""
+    """(y, x, z) from 0 of corners: det - kappa trace^2 of the smoothed gradient products, non-maxima suppressed."""
     derive, smooth = np.array([-0.5, 0, 0.5]), np.array([0.25, 0.5, 0.25])
     gradient = [separable(volume, [derive if a == b else smooth for b in range(3)]) for a in range(3)]
     weights = [gaussian(blur, blur / 2 / 2.354)] * 3
     p = {(i, j): separable(gradient[i] * gradient[j], weights) for i in range(3) for j in range(i, 3)}
     xx, yy, zz, xy, xz, yz = p[0, 0], p[1, 1], p[2, 2], p[0, 1], p[0, 2], p[1, 2]
     det = xx * (yy * zz - yz**2) - xy * (xy * zz - yz * xz) + xz * (xy * yz - yy * xz)
-    response = det - kappa * (xx + yy + zz) ** 3
+    response = det - kappa * (xx + yy + zz) ** 2
     margin = int(0.1 * volume.shape[2])
     if margin:
         response[:, :, :margin] = response[:, :, -margin:] = 0

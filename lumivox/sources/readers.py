@@ -90,7 +90,7 @@ def deinterleave(stack: DataFrame, planes: int, k: str = "k") -> DataFrame:
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(line, value) of one text file, lines from 0."""
-    lines = spark.read.option("wholetext", True).text(path)
+    lines = spark.read.text(path, wholetext=True)
     return lines.select(F.posexplode(F.split("value", "\r?\n")).alias("line", "value")).filter(F.col("value") != "")
 
 
