@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, is_held_out, table, text_chunks, word_bounds, word_hashes
+from .common import SPACED, is_held_out, map_texts, table, text_chunks, word_bounds, word_hashes
 
 #: Bounds of the training sample: labelled rows, and code points of one of its documents.
 SAMPLE_ROWS, SAMPLE_CHARS = 4000, 20_000
@@ -103,6 +103,15 @@ def line_statistics(data: np.ndarray, offsets: np.ndarray) -> Lines:
     return Lines(np.column_stack(columns), length, first)
 
 
+def _lines_of(texts: list[str]) -> Lines:
+    """The lines of all texts, counted chunk by chunk."""
+    parts = [line_statistics(data, offsets) for _, _, data, offsets in text_chunks(pa.array(texts, pa.string()))]
+    first = [np.zeros(1, np.int64)]
+    for part in parts:
+        first.append(part.first[1:] + first[-1][-1])
+    return Lines(np.concatenate([p.bins for p in parts]), np.concatenate([p.length for p in parts]), np.concatenate(first))
+
+
 @dataclass
 class ChainModel:
     """Weights of "good" over "bad" by feature, transition scores, and the logistic curve of the document score."""
@@ -207,9 +216,7 @@ def train(texts: list[str], labels: np.ndarray, steps: int = 120, rate: float =
     if len(texts) == 0:
         model.slope = 0.0
         return model
-    blob = [t.encode() for t in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(b) for b in blob])]).astype(np.int64)
-    lines = line_statistics(np.frombuffer(b"".join(blob), np.uint8), offsets)
+    lines = _lines_of(texts)
     counts = np.diff(lines.first)
     truth = np.repeat(labels.astype(float), counts)
     n = len(truth)
@@ -284,7 +291,7 @@ def score_quality(docs: DataFrame, model: ChainModel, threshold: float = THRESHO
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return docs.select(*names).mapInArrow(run, f"{schema}, score double, predicted int")
+    return map_texts(docs.select(*names), run, f"{schema}, score double, predicted int")
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> ChainModel:

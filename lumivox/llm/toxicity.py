@@ -21,12 +21,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import ALNUM, is_held_out, mix, table, text_chunks, word_bounds, word_hashes
+from .common import ALNUM, is_held_out, map_texts, mix, table, text_chunks, word_bounds, word_hashes
 from .decontamination import item_words
 from .quality import labelled_sample
 
 #: Bounds of the training sample: labelled rows, and code points of one of its documents.
-SAMPLE_ROWS, SAMPLE_CHARS = 10_000, 20_000
+SAMPLE_ROWS, SAMPLE_CHARS = 8000, 10_000
 BUCKETS, WIDTH_OF_WORD, FILTERS, WIDTHS = 1 << 16, 8, 8, (1, 2, 3)
 #: Bytes of the beginnings of a word that have hashes of their own.
 BEGINNINGS = (4, 5, 6, 7, 8, 9, 10)
@@ -130,17 +130,18 @@ def word_buckets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes:
     out = [hashes]
     for n in BEGINNINGS:
         out.append(mix(word_hashes(data, starts, np.minimum(starts + n, ends)) + np.uint64(n)))
-    return (np.column_stack(out) % np.uint64(BUCKETS)).astype(np.int64)
+    return np.column_stack([(h % np.uint64(BUCKETS)).astype(np.int32) for h in out])
 
 
 def _hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets, word fingerprints and each text's first word."""
-    blob = [t.encode() for t in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(b) for b in blob])]).astype(np.int64)
-    data = np.frombuffer(b"".join(blob), np.uint8)
-    starts, ends, first = word_bounds(data, offsets, ALNUM)
-    hashes = word_hashes(data, starts, ends)
-    return word_buckets(data, starts, ends, hashes), hashes, first
+    buckets, hashes, first = [], [], [np.zeros(1, np.int64)]
+    for _, _, data, offsets in text_chunks(pa.array(texts, pa.string())):
+        starts, ends, heads = word_bounds(data, offsets, ALNUM)
+        hashes.append(word_hashes(data, starts, ends))
+        buckets.append(word_buckets(data, starts, ends, hashes[-1]))
+        first.append(heads[1:] + first[-1][-1])
+    return np.concatenate(buckets), np.concatenate(hashes), np.concatenate(first)
 
 
 class _Adam:
@@ -179,8 +180,13 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 6, batch: int = 64
         for at in range(0, len(fitted), batch):
             some = fitted[at : at + batch]
             _step(model, [buckets[first[i] : first[i + 1]] for i in some], labels[some], heft[some], adam, seen)
-    logits = model.logits(buckets, first, model.tables())
-    _calibrate(model, logits[aside], languages(hashes, first)[aside], labels[aside])
+    tables = model.tables()
+    logits, own = np.zeros(len(aside)), np.zeros(len(aside), np.int64)
+    for k, i in enumerate(aside):
+        one = slice(first[i], first[i + 1])
+        ends = np.array([0, first[i + 1] - first[i]])
+        logits[k], own[k] = model.logits(buckets[one], ends, tables)[0], languages(hashes[one], ends)[0]
+    _calibrate(model, logits, own, labels[aside])
     return model
 
 
@@ -280,7 +286,7 @@ def score_toxicity(docs: DataFrame, model: TextCnn, threshold: float = THRESHOLD
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return docs.select(*names).mapInArrow(run, f"{schema}, score double, predicted int")
+    return map_texts(docs.select(*names), run, f"{schema}, score double, predicted int")
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> TextCnn:
