@@ -8,7 +8,7 @@ byte of a non-ASCII character belongs to a word.
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text handled at once by the numpy kernels; bounds their working memory.
 CHUNK_BYTES = 1 << 20
+#: Rows of an Arrow batch that carries texts.
+BATCH_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +47,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def map_texts(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """mapInArrow for rows with texts: Arrow batches hold at most BATCH_ROWS of them, so that long texts don't add up.
+
+    Batches of all sizes give the same results; the setting stays in the session, as
+    plans read it when they run.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def is_held_out(doc_id: str = "doc_id"):
     """crc32(doc_id as text) mod 5 is 0; a null doc_id is held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, table, text_chunks, word_bounds, word_hashes
+from .common import ALNUM, map_texts, table, text_chunks, word_bounds, word_hashes
 
 WINDOW = 13
 
@@ -261,7 +261,7 @@ def find_contamination(
         f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, n_hit long, "
         "items array<string>, spans array<struct<start:long,end:long>>"
     )
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(_scan_batches(blocks), schema)
+    return map_texts(docs.select("doc_id", F.col("text").cast("string")), _scan_batches(blocks), schema)
 
 
 def is_contaminated(coverage: int = 20):
@@ -304,7 +304,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, c
             keep = pa.array((hits == 0) | (coverage * hits < words))
             yield pa.RecordBatch.from_arrays(list(columns.values()), schema=batch.schema).filter(keep)
 
-    return docs.mapInArrow(run, schema)
+    return map_texts(docs, run, schema)
 
 
 def op6_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

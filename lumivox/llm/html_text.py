@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import map_texts, table
 
 # HTML elements by their part in a page.
 BLOCK_TAGS = frozenset(
@@ -330,7 +330,7 @@ def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(texts, pa.string())], names=[*names, "text"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
-    return pages.select(*names).mapInArrow(run, f"{schema}, text string")
+    return map_texts(pages.select(*names), run, f"{schema}, text string")
 
 
 def op9_html_extraction(spark, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, materialize, mix, table, text_chunks, word_bounds, word_hashes
+from .common import SPACED, map_texts, materialize, mix, table, text_chunks, word_bounds, word_hashes
 from .graph import components
 
 WORDS = 5
@@ -41,7 +41,7 @@ WORDS = 5
 BUCKET, BLOCK = 400_000, 1_000_000
 #: Up to this many candidate documents (a few dozen bytes each) their ids are broadcast; beyond, they join by shuffle.
 BROADCAST_ROWS = 1_000_000
-_FLUSH = 1 << 20
+_FLUSH = 1 << 18
 #: l = n / DEPTH.  The larger l, the more of a document must be shared for it to stay a candidate: of the n/5 + l
 #: prefix shingles, 0.8 l.
 DEPTH = 5
@@ -361,8 +361,7 @@ def candidate_clusters(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     buckets = max(1, -(-int(total) // BUCKET))
     blobs = "bucket long, blob binary"
     shared = (
-        docs.select("text")
-        .mapInArrow(_postings(buckets), blobs)
+        map_texts(docs.select("text"), _postings(buckets), blobs)
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_shared(buckets), blobs)
@@ -414,7 +413,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     or text length changes what links.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = materialize(docs.mapInArrow(_identify, "doc_id long, n_shingles long, node long"))
+    rows = materialize(map_texts(docs, _identify, "doc_id long, n_shingles long, node long"))
     nodes = rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"))
     nodes = materialize(nodes)
     members = components(similarity_links(docs, nodes))

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import EXACT, SPACED, table, text_chunks, word_bounds, word_hashes
+from .common import EXACT, SPACED, map_texts, table, text_chunks, word_bounds, word_hashes
 
 MARK = "▁"
 #: Words whose counts a worker remembers.
@@ -129,7 +129,7 @@ def count_tokens(docs: DataFrame, initial: Sequence[str], later: Sequence[str])
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return docs.select(*names).mapInArrow(run, f"{schema}, n_words long, n_tokens long")
+    return map_texts(docs.select(*names), run, f"{schema}, n_words long, n_tokens long")
 
 
 def op5_token_counts(spark, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
