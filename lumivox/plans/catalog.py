@@ -126,7 +126,7 @@ def base_call(spark, d):
   FROM {PIXELS} WINDOW w AS (PARTITION BY puncta_id, round ORDER BY c2)),
 a AS (SELECT *, greatest(1.0, least(n, n * 0.9 + 0.5)) AS pos FROM s)
 SELECT puncta_id, round, round(max(CASE WHEN k = floor(pos) THEN c2 END)
-  + (max(pos) - floor(max(pos))) * (max(CASE WHEN k = least(floor(pos) + 1, n) THEN c2 END) - max(CASE WHEN k = floor(pos) THEN c2 END)), 6) AS p1
+  + (max(pos) - floor(max(pos))) * (max(CASE WHEN k = least(floor(pos) + 1, n) THEN c2 END) - max(CASE WHEN k = floor(pos) THEN c2 END)), 6)::DOUBLE AS p1
 FROM a GROUP BY puncta_id, round"""
 )
 def midpoint_percentiles(spark, d):
@@ -963,7 +963,7 @@ def label_volume(spark, d):
     return sinks.label_volume(p)
 
 
-@query(f"SELECT x, CAST(y AS INTEGER) AS y, 1 AS z, CASE WHEN hamming = 0 THEN 1.0 ELSE 0.0 END AS r, 0.5 AS g, CASE WHEN hamming = 3 THEN 1.0 ELSE 0.0 END AS b, 1.0 AS a, z AS round FROM {POSITIONS}")
+@query(f"SELECT x, CAST(y AS INTEGER) AS y, 1 AS z, CASE WHEN hamming = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS r, 0.5::DOUBLE AS g, CASE WHEN hamming = 3 THEN 1.0 ELSE 0.0 END::DOUBLE AS b, 1.0::DOUBLE AS a, z AS round FROM {POSITIONS}")
 def point_cloud(spark, d):
     p = frame(spark, d, "positions").select(F.col("z").alias("round"), F.col("hamming").alias("base"), F.array(X.sub2ind(60, 24, F.col("y"), F.col("x"), F.lit(1))).alias("voxels"))
     colours = spark.createDataFrame([(k, float(k == 0), 0.5, float(k == 3)) for k in range(4)], "base int, r double, g double, b double")
