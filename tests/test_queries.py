@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -46,7 +47,7 @@ def test_query_equals_oracle(spark, duck, name):
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES])
 def test_query_without_oracle_gives_rows(spark, name):
-    if name.startswith("op") or name == "pipeline":
+    if re.match(r"op\d+_", name) or name == "pipeline":
         pytest.skip("tested with its operator")
     assert QUERIES[name](spark, DATA).count() > 0
 
