@@ -31,7 +31,8 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 ASSIGN_LEAST = 12
 KINDS = ("assign", "access", "hex", "random")
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+TOKEN_LEAST = 20
+TOKEN = rf"[A-Za-z0-9+/_=-]{{{TOKEN_LEAST},}}"
 
 #: Level of each token's battery, of the false-discovery control, and share of digits and capitals in the words of prose.
 REJECT, FDR, PROSE_MARKED = 0.001, 0.01, 0.05
@@ -175,13 +176,46 @@ def _length_class(n: Column) -> Column:
     return out
 
 
-def candidates(text: Column) -> Column:
-    """Token spans with their tests: array<struct<start,end,kind,what,test>>; only tokens of letters and digits."""
-    mixed = lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]")
-    spans = match_spans(text, TOKEN, "random", mixed)
-    return F.transform(
+def _mixed(token: Column) -> Column:
+    return token.rlike("[0-9]") & token.rlike("[A-Za-z]")
+
+
+def _apart(span: Column, bases: Column) -> Column:
+    """array<struct<start,end,kind,what>>: what base spans leave of a token, in pieces of TOKEN_LEAST and more characters."""
+    empty = F.array().cast("array<struct<start:int,end:int,kind:int,what:string>>")
+
+    def piece(start: Column, end: Column) -> Column:
+        what = F.substring(span["what"], start - span["start"] + 1, end - start)
+        cut = F.struct(start.alias("start"), end.alias("end"), span["kind"].alias("kind"), what.alias("what"))
+        return F.when((end - start >= TOKEN_LEAST) & _mixed(what), F.array(cut)).otherwise(empty)
+
+    def step(state: Column, b: Column) -> Column:
+        return F.struct(
+            F.greatest(state["at"], b["end"]).alias("at"),
+            F.concat(state["out"], piece(state["at"], F.least(b["start"], span["end"]))).alias("out"),
+        )
+
+    across = F.array_sort(F.filter(bases, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"])))
+    return F.aggregate(
+        across,
+        F.struct(span["start"].alias("at"), empty.alias("out")),
+        step,
+        lambda s: F.concat(s["out"], piece(s["at"], span["end"])),
+    )
+
+
+def candidates(text: Column, bases: Column) -> Column:
+    """Token spans with their tests: array<struct<start,end,kind,test>>; only tokens of letters and digits.
+
+    ``bases``: base spans of the text; they are cut out of the tokens.
+    """
+    tokens = match_spans(text, TOKEN, "random", _mixed)
+    # an array of one, so that ``bases`` is evaluated a single time and not for each token
+    spans = F.transform(F.array(bases), lambda b: F.flatten(F.transform(tokens, lambda s: _apart(s, b))))[0]
+    tested = F.transform(
         spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), token_tests(s["what"]).alias("test"))
     )
+    return F.when(text.rlike(TOKEN), tested)
 
 
 def discovery_bins(docs: DataFrame, fdr: float = FDR) -> dict[int, int]:
@@ -189,7 +223,7 @@ def discovery_bins(docs: DataFrame, fdr: float = FDR) -> dict[int, int]:
 
     Bins are counted in the executors; at most four classes' results reach the driver.
     """
-    tests = docs.select(F.explode(F.transform(candidates(F.col("text")), lambda s: s["test"])).alias("t")).select("t.*")
+    tests = docs.select(F.explode(F.transform(candidates(F.col("text"), base_spans(F.col("text"))), lambda s: s["test"])).alias("t")).select("t.*")
     bins = (
         tests.filter(F.col("random") >= REJECT)
         .groupBy(_length_class(F.col("n")).alias("class"), "bin")
@@ -205,9 +239,9 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """``docs`` with ``secrets``: array<struct<start,end,kind>> by start, then kind (a column of that name is replaced).
 
     Kinds are places in KINDS; positions are code points, ends exclusive.  The base
-    matches of each kind are leftmost and do not overlap within their kind; matches of
-    the battery (kind random) that overlap a base match are left out.  Null and empty
-    texts have none.  Each row counts, copies included; an empty table gives no rows.
+    matches of each kind are leftmost and do not overlap within their kind; the battery
+    (kind random) tests what base matches leave of a token, if 20 characters or more.
+    Null and empty texts have none.  Each row counts, copies included; an empty table gives no rows.
     """
     docs = docs.withColumn("text", F.col("text").cast("string"))
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -221,11 +255,10 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
         floor = wanted
         for number, bin_ in least.items():
             floor = F.when(_length_class(s["test"]["n"]) == number, F.lit(bin_)).otherwise(floor)
-        apart = ~F.exists("secrets", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        return (s["test"]["random"] >= REJECT) & (s["test"]["bin"] >= floor) & apart
+        return (s["test"]["random"] >= REJECT) & (s["test"]["bin"] >= floor)
 
-    more = F.transform(F.filter(candidates(text), discovered), _bare)
-    return found.withColumn("secrets", F.array_sort(F.concat("secrets", more)))
+    more = F.transform(F.filter(candidates(text, F.col("secrets")), discovered), _bare)
+    return found.withColumn("secrets", F.array_sort(F.when(more.isNull(), F.col("secrets")).otherwise(F.concat("secrets", more))))
 
 
 def _bare(s: Column) -> Column:
