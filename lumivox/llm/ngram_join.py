@@ -107,6 +107,12 @@ def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _with_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        nodes = [node_of(tokens) if len(tokens) else None for tokens in _text_sets(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays([batch.column("text"), pa.array(nodes, pa.int64())], names=["text", "node"])
+
+
 def _postings(buckets: int) -> object:
     """Prefix postings of every set, packed by bucket of the shingle; sets seen before by the task are left out."""
 
@@ -390,13 +396,16 @@ def similarity_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: (k != own) | (F.col("blocks") == 1))
     wanted = clusters.select("doc_id", "node", "cluster", own.alias("own"), others.alias("others"))
-    if clusters.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    rows = (
-        docs.select("doc_id", "text")
-        .join(wanted, "doc_id")
-        .withColumn("other", F.explode("others"))
-        .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "text")
+    few = clusters.count() <= BROADCAST_ROWS
+    near = F.broadcast if few else lambda df: df
+    columns = ("cluster", "own", "others", "node", "text")
+    texts = docs.select("doc_id", "text").join(near(wanted), "doc_id").select(*columns)
+    nameless = wanted.filter(F.col("doc_id").isNull()).drop("doc_id")
+    if not nameless.isEmpty():  # sets of rows without an id are found by their fingerprints
+        own_texts = map_texts(docs.filter(F.col("doc_id").isNull()).select("text"), _with_nodes, "text string, node long")
+        texts = texts.unionByName(own_texts.join(near(nameless), "node").select(*columns).dropDuplicates(["node"]))
+    rows = texts.withColumn("other", F.explode("others")).select(
+        "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "text"
     )
     key = ("cluster", "i", "j")
     return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(_join_blocks, "a long, b long")

@@ -98,6 +98,17 @@ def test_components_of_chains_stars_and_loops(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_near_copy_without_an_id_bridges_two_documents(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 1_000_000 if broadcast else 0)
+    words = [f"w{k}" for k in range(100)]
+    first, bridge, last = " ".join(words), " ".join(words[8:] + [f"x{k}" for k in range(8)]), " ".join(words[16:] + [f"x{k}" for k in range(16)])
+    rows = [(4, first), (None, bridge), (None, bridge), (7, last), (8, "alone"), (None, " ".join(words[::-1]))]
+    got = ngram_join.near_duplicates(docs(spark, rows)).collect()
+    assert sorted(((r[0], r[1], r[2]) for r in got), key=str) == brute_force(rows)
+    assert {r[0]: r[2] for r in got}[7] == 4
+
+
 def test_one_row_of_each_component_stays(spark):
     text = " ".join(f"w{k}" for k in range(40))
     rows = [(4, text), (2, text + " x"), (9, "other words stand alone here"), (9, "other words stand alone here"), (11, None), (None, text)]
