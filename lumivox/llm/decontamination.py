@@ -73,7 +73,7 @@ class BenchmarkIndex:
 
     def __init__(self, items: list[tuple[str, np.ndarray]], window: int = WINDOW):
         self.window = window
-        self.names = sorted({name for name, _ in items})
+        self.names = sorted({name for name, _ in items}, key=lambda name: (name is None, name or ""))
         number = {name: k for k, name in enumerate(self.names)}
         self.vocabulary = np.unique(np.concatenate([words for _, words in items]))
         size = len(self.vocabulary)
@@ -175,10 +175,11 @@ def item_words(text: str | None) -> np.ndarray:
 def build_indexes(benchmark: DataFrame, window: int, block_words: int) -> list[BenchmarkIndex]:
     """Automata of at most ``block_words`` words each (a longer single item has one of its own).
 
-    Items stream to the driver one block at a time; rows without an item_id or words are ignored.
+    Items stream to the driver one block at a time; rows without words are ignored.  Items
+    without an item_id have windows as any other, but no name.
     """
     blocks, items, total = [], [], 0
-    for row in benchmark.select(F.col("item_id").cast("string"), "text").na.drop("any").toLocalIterator():
+    for row in benchmark.select(F.col("item_id").cast("string"), "text").filter(F.col("text").isNotNull()).toLocalIterator():
         words = item_words(row[1])
         if not len(words):
             continue
@@ -221,7 +222,7 @@ def _scan_batches(blocks: list[BenchmarkIndex]) -> object:
                             row = int(np.searchsorted(first_words, head, "right")) - 1
                             origin = int(head - first_words[row])
                             spans.setdefault(row, []).extend((a + origin, b + origin) for a, b in ranges)
-                            items.setdefault(row, set()).update(index.names[k] for k in found)
+                            items.setdefault(row, set()).update(index.names[k] for k in found if index.names[k] is not None)
                 counts = np.diff(first_words)
                 for row in range(end - first):
                     ranges = _merged(spans.get(row, []))

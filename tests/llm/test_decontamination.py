@@ -62,6 +62,16 @@ def test_spans_are_code_points_and_are_cut(spark):
     assert out[3]["text"] == "nothing here" and out[4]["text"] is None
 
 
+def test_item_without_an_id_hits_but_has_no_name(spark):
+    items = [(None, " ".join(f"b{k}" for k in range(14))), (5, " ".join(f"c{k}" for k in range(14)))]
+    df = docs(spark, [(1, items[0][1]), (2, f"{items[0][1]} and {items[1][1]}"), (3, "é " * 400 + items[0][1])])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in dc.find_contamination(df, bench).collect()}
+    assert got == {1: (14, []), 2: (28, ["5"]), 3: (14, [])}
+    out = {r["doc_id"]: r["text"] for r in dc.decontaminate(df, bench).collect()}
+    assert out == {3: "é " * 400}
+
+
 def test_empty_benchmark_and_documents(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert dc.find_contamination(docs(spark, [(1, "a b")]), bench).first()["n_hit"] == 0
