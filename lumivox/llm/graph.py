@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Edges that a task contracts at once.
-_LOCAL_EDGES = 1 << 20
+#: Edges that a task contracts at once; as many stars as that are finished in one task of bounded size.
+_LOCAL_EDGES = 1 << 19
 
 
 class Forest:
@@ -67,11 +67,12 @@ def components(edges: DataFrame) -> DataFrame:
     their own edges first; then each round points a node's larger neighbours, and next
     its smaller ones, to its smallest neighbour, until nothing changes.  A node's
     neighbours are never gathered in one place: minima are pre-aggregated and joined
-    back, and skewed joins are split.  Lineage is cut in the shared checkpoint folder.
+    back, and skewed joins are split.  As soon as no more edges are left than a task
+    contracts at once, one task does the rest.  Lineage is cut in the shared checkpoint folder.
     """
     star = materialize(edges.filter("a <> b").select("a", "b").mapInArrow(_contract, "a long, b long").distinct())
     mark = None
-    while True:
+    while star.count() > _LOCAL_EDGES:
         both = star.unionAll(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, F.col("a") == F.col("u")).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -87,6 +88,8 @@ def components(edges: DataFrame) -> DataFrame:
         if now == mark:
             break
         mark = now
+    else:
+        star = materialize(star.coalesce(1).mapInArrow(_contract, "a long, b long"))
     return star.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(
         star.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

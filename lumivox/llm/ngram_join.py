@@ -14,9 +14,15 @@ when their Jaccard similarity is 0.8 or more.  Documents of equal sets are one n
    cluster, go into a path-compressed trie.  Each set walks the trie; nodes share the
    overlap of their common path, and a subtree is left when the overlap so far plus
    what can remain is too small for any set in it, when its lengths don't fit, or when
-   all of it is already in the component of the walking set.  Clusters beyond a block
-   are joined as pairs of blocks, each a task.
-3. The links that join two components inside a task (a spanning forest, never all
+   all of it is already in the component of the walking set.
+3. Clusters of more than one block are dealt to blocks of bounded size, each joined on
+   its own; then blocks of the blocks' central sets are joined, level by level.  A large
+   family of near copies is one component after that.  What it leaves is exact, too: a
+   shared shingle whose holders are all of one component can't add anything, so only
+   the sets that other shared shingles still tie together are clustered again, and of
+   those each set outside the cluster's largest component meets all others, as pairs of
+   blocks.
+4. The links that join two components inside a task (a spanning forest, never all
    pairs) are merged by connected components.
 
 Shingle fingerprints of 64 bits stand for shingles; two sets of equal size and equal
@@ -33,12 +39,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, map_texts, materialize, mix, table, text_chunks, word_bounds, word_hashes
+from .common import SPACED, arrow_rows, map_texts, materialize, mix, table, text_chunks, word_bounds, word_hashes
 from .graph import components
 
 WORDS = 5
-#: Prefix postings of a bucket, on average; shingles of a block of a cluster.
-BUCKET, BLOCK = 400_000, 1_000_000
+#: Prefix postings of a bucket, on average.
+BUCKET = 400_000
+#: Shingles of a block of a cluster; where sets are long, a block still holds BLOCK_SETS of them, or what
+#: LARGE_BLOCK shingles allow.
+BLOCK, BLOCK_SETS, LARGE_BLOCK = 20_000, 64, 2_000_000
+#: Components of a block that send central sets to the next level, sets that each sends, and levels.
+CENTRAL, CENTRAL_SETS, LEVELS = 4, 2, 6
 #: Up to this many candidate documents (a few dozen bytes each) their ids are broadcast; beyond, they join by shuffle.
 BROADCAST_ROWS = 1_000_000
 _FLUSH = 1 << 18
@@ -231,9 +242,12 @@ class _Node:
 
 
 class PrefixTree:
-    """Globally ordered sets in a path-compressed trie, joined by walks that share partial overlaps."""
+    """Globally ordered sets in a path-compressed trie, joined by walks that share partial overlaps.
 
-    def __init__(self, sets: list[np.ndarray]):
+    ``known``: a component number for each set, equal for sets that are linked already.
+    """
+
+    def __init__(self, sets: list[np.ndarray], known: list[int] | None = None):
         self.sizes = [len(s) for s in sets]
         tokens, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         rank = np.empty(len(tokens), np.int64)
@@ -241,7 +255,12 @@ class PrefixTree:
         self.common = int((counts > 1).sum())  # shingles of one set alone add to no overlap
         cuts = np.cumsum(self.sizes)[:-1]
         self.paths = [np.sort(r[r < self.common]) for r in np.split(rank[inverse], cuts)]
+        #: How usual a set's shingles are among all sets; the middle of a family of copies has the most usual ones.
+        self.centrality = [float(x.mean()) for x in np.split(counts[inverse], cuts)]
         self.parent = list(range(len(sets)))
+        first: dict[int, int] = {}
+        for i, number in enumerate(known or ()):
+            self.parent[i] = first.setdefault(number, i)
         self.root = self._build()
 
     def _build(self) -> _Node:
@@ -280,6 +299,9 @@ class PrefixTree:
             node.least = min([*sizes, *(c.least for c in node.children)])
             node.most = max([*sizes, *(c.most for c in node.children)])
             node.longest = max([node.end, *(c.longest for c in node.children)])
+            known = {self.find(i) for i in node.members} | {self.find(c.same) if c.same >= 0 else -1 for c in node.children}
+            if len(known) == 1:
+                node.same = known.pop()
 
     def find(self, i: int) -> int:
         while self.parent[i] != i:
@@ -287,17 +309,26 @@ class PrefixTree:
             i = self.parent[i]
         return i
 
-    def links(self) -> list[tuple[int, int]]:
-        """Pairs that link and, together, connect all that links connect."""
+    def links(self, walkers: list[int] | None = None) -> list[tuple[int, int]]:
+        """Pairs that link and, together, connect all that links of ``walkers`` (by default all sets) connect."""
         sys.setrecursionlimit(max(sys.getrecursionlimit(), 4 * len(self.paths) + 1000))
         found: list[tuple[int, int]] = []
         mine = np.zeros(self.common, bool)
-        for i, path in enumerate(self.paths):
+        for i in range(len(self.paths)) if walkers is None else walkers:
+            path = self.paths[i]
             mine[path] = True
             self._walk(self.root, 0, i, mine, found)
             mine[path] = False
         return found
 
+    def central(self) -> list[int]:
+        """The most central sets of the largest components of two and more sets."""
+        families: dict[int, list[int]] = {}
+        for i in range(len(self.paths)):
+            families.setdefault(self.find(i), []).append(i)
+        largest = sorted((f for f in families.values() if len(f) > 1), key=lambda f: (-len(f), f[0]))[:CENTRAL]
+        return [i for f in largest for i in sorted(f, key=lambda i: (-self.centrality[i], i))[:CENTRAL_SETS]]
+
     def _walk(self, node: _Node, overlap: int, own: int, mine: np.ndarray, found: list[tuple[int, int]]) -> bool:
         """Whether all sets below are known to be in the component of ``own``."""
         if node.same >= 0 and self.find(node.same) == self.find(own):
@@ -329,37 +360,61 @@ class PrefixTree:
         return same
 
 
-def _join_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links inside each group (cluster, i, j) of rows sorted by it; a group is two blocks at most."""
-    key, sets = None, {}
+LINKS = "a long, b long, central boolean"
+
+
+def _join_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) inside each group (cluster, i, j) of rows sorted by it, and (central set, cluster) marked central.
+
+    Rows: node, tokens, and, where links are known already, comp (equal for sets that
+    are linked) and walks (whether the set must be compared with all others).
+    """
+    key, sets, walks = None, {}, []
 
     def joined() -> pa.RecordBatch | None:
         if len(sets) < 2:
             return None
         nodes = list(sets)
-        pairs = PrefixTree(list(sets.values())).links()
+        tree = PrefixTree([tokens for tokens, _ in sets.values()], [comp for _, comp in sets.values()])
+        pairs = [(nodes[a], nodes[b], False) for a, b in tree.links(walks)]
+        pairs += [(nodes[i], key[0], True) for i in tree.central()]
         if not pairs:
             return None
-        a, b = (pa.array([nodes[p[k]] for p in pairs], pa.int64()) for k in (0, 1))
-        return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+        return arrow_rows(pa.schema([("a", pa.int64()), ("b", pa.int64()), ("central", pa.bool_())]), list(zip(*pairs)))
 
     for batch in batches:
-        keys = list(zip(*(batch.column(c).to_pylist() for c in ("cluster", "i", "j"))))
-        for own, node, tokens in zip(keys, batch.column("node").to_pylist(), _text_sets(batch.column("text"))):
+        rows = zip(*(batch.column(c).to_pylist() for c in ("cluster", "i", "j", "node", "comp", "walks")), batch.column("tokens"))
+        for *own, node, comp, walk, tokens in rows:
             if own != key:
-                if (out := joined()) is not None:
+                if key is not None and (out := joined()) is not None:
                     yield out
-                key, sets = own, {}
-            if node_of(tokens) == node:  # another row may have the same doc_id
-                sets[node] = tokens
-    if (out := joined()) is not None:
+                key, sets, walks = own, {}, []
+            if node not in sets:
+                if walk:
+                    walks.append(len(sets))
+                sets[node] = (np.frombuffer(tokens.as_buffer(), np.uint64), comp)
+    if key is not None and (out := joined()) is not None:
         yield out
 
 
-def candidate_clusters(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, n_shingles, doc_id, cluster) of the sets that may link, in clusters of two or more.
+def _tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, cluster, n, tokens) of the rows whose text has the wanted set; another row may have the same doc_id."""
+    for batch in batches:
+        sets = list(_text_sets(batch.column("text")))
+        wanted = batch.column("node").to_pylist()
+        keep = [k for k, tokens in enumerate(sets) if len(tokens) and node_of(tokens) == wanted[k]]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node").take(pa.array(keep, pa.int64())), batch.column("cluster").take(pa.array(keep, pa.int64())),
+             pa.array([len(sets[k]) for k in keep], pa.int64()), pa.array([sets[k].tobytes() for k in keep], pa.binary())],
+            names=["node", "cluster", "n", "tokens"],
+        )
 
-    ``nodes``: node, n_shingles and the smallest doc_id of each distinct set.
+
+def candidate_edges(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b): a set that may link and the smallest set of one of its rarest shared shingles.
+
+    ``nodes``: node and n_shingles of each distinct set.  Two sets that link both have an
+    edge to one same b.
     """
     n = F.col("n_shingles")
     prefix = n - F.ceil(n * 0.8) + F.greatest(F.lit(1), F.floor(n / DEPTH))
@@ -375,40 +430,130 @@ def candidate_clusters(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         .sortWithinPartitions("bucket")
         .mapInArrow(_edges, "a long, b long")
     )
-    edges = materialize(shared)
-    survivors = edges.select(F.col("a").alias("node")).distinct()
-    found = (
-        nodes.join(survivors, "node")
-        .join(components(edges).withColumnRenamed("component", "cluster"), "node", "left")
-        .filter(F.col("cluster").isNotNull())
-    )
-    found = materialize(found)
-    several = found.groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("size")).filter("m > 1")
-    return found.join(several, "cluster").select(
-        "node", "n_shingles", "doc_id", "cluster", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")
-    )
+    return materialize(shared)
 
 
-def similarity_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b): links between distinct sets that connect all linked sets."""
-    clusters = materialize(candidate_clusters(docs, nodes))
-    # a cluster of one block is a group of its own; of several, each pair of blocks is one
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: (k != own) | (F.col("blocks") == 1))
-    wanted = clusters.select("doc_id", "node", "cluster", own.alias("own"), others.alias("others"))
-    few = clusters.count() <= BROADCAST_ROWS
+def cluster_sets(docs: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, cluster, n, tokens) of the sets in clusters of two or more that ``edges`` tie together."""
+    survivors = edges.select(F.col("a").alias("node")).distinct()
+    found = nodes.join(survivors, "node").join(components(edges).withColumnRenamed("component", "cluster"), "node")
+    found = materialize(found)
+    several = found.groupBy("cluster").count().filter("count > 1").select("cluster")
+    wanted = materialize(found.join(several, "cluster", "left_semi").select("doc_id", "node", "cluster"))
+    few = wanted.count() <= BROADCAST_ROWS
     near = F.broadcast if few else lambda df: df
-    columns = ("cluster", "own", "others", "node", "text")
-    texts = docs.select("doc_id", "text").join(near(wanted), "doc_id").select(*columns)
+    texts = docs.select("doc_id", "text").join(near(wanted), "doc_id").select("node", "cluster", "text")
     nameless = wanted.filter(F.col("doc_id").isNull()).drop("doc_id")
     if not nameless.isEmpty():  # sets of rows without an id are found by their fingerprints
         own_texts = map_texts(docs.filter(F.col("doc_id").isNull()).select("text"), _with_nodes, "text string, node long")
-        texts = texts.unionByName(own_texts.join(near(nameless), "node").select(*columns).dropDuplicates(["node"]))
-    rows = texts.withColumn("other", F.explode("others")).select(
-        "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "text"
-    )
+        texts = texts.unionByName(own_texts.join(near(nameless), "node").select("node", "cluster", "text").dropDuplicates(["node"]))
+    return materialize(map_texts(texts, _tokens_of, "node long, cluster long, n long, tokens binary"))
+
+
+def _blocks(size, sets):
+    """Number of blocks for ``sets`` sets of ``size`` shingles together."""
+    mean = size / sets
+    each = F.greatest(F.lit(BLOCK) / mean, F.least(F.lit(BLOCK_SETS), F.greatest(F.lit(2), F.lit(LARGE_BLOCK) / mean)))
+    return F.greatest(F.lit(1), F.ceil(sets / each)).cast("int")
+
+
+def _deal(node, blocks, level: int = 0):
+    return F.pmod(F.xxhash64(node, F.lit(level)), blocks).cast("int")
+
+
+def _joined(groups: DataFrame) -> DataFrame:
+    """Links and central sets of rows (cluster, i, j, node, comp, walks, tokens), grouped by the first three."""
     key = ("cluster", "i", "j")
-    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(_join_blocks, "a long, b long")
+    return materialize(groups.repartition(*key).sortWithinPartitions(*key).mapInArrow(_join_groups, LINKS))
+
+
+def _block_links(sets: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+    """(links inside blocks, central sets of the blocks of clusters of several blocks)."""
+    sizes = sets.groupBy("cluster").agg(_blocks(F.sum("n"), F.count("*")).alias("blocks"))
+    dealt = sets.join(sizes, "cluster").withColumn("i", _deal("node", F.col("blocks"), level))
+    found = _joined(dealt.select("cluster", "i", F.lit(0).alias("j"), "node", F.col("node").alias("comp"), F.lit(True).alias("walks"), "tokens"))
+    central = found.filter("central").select(F.col("a").alias("node")).distinct()
+    several = sizes.filter("blocks > 1").select("cluster")
+    return found.filter("not central").select("a", "b"), sets.join(several, "cluster", "left_semi").join(central, "node", "left_semi")
+
+
+def _rest_links(sets: DataFrame, edges: DataFrame, links: DataFrame) -> DataFrame | None:
+    """Links between the components that ``links`` has made of clusters of several blocks.
+
+    ``sets``: the sets of these clusters.  None where nothing is left to compare.
+    """
+    comps = components(links).withColumnRenamed("component", "comp")
+    labelled = sets.select("node").join(comps, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
+    labelled = materialize(labelled)
+    own = edges.join(labelled.withColumnRenamed("node", "a"), "a")  # the edges of these clusters alone
+    centres = own.select("b").distinct().join(labelled.withColumnRenamed("node", "b"), "b").select("b", "comp")
+    open_ = (
+        own.select("b", "comp").unionByName(centres)
+        .groupBy("b").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
+        .filter("least <> most").select("b")
+    )
+    rest = materialize(own.join(open_, "b", "left_semi").select("a", "b"))
+    if rest.isEmpty():
+        return None
+    holders = rest.select(F.col("a").alias("node")).distinct()
+    again = components(rest).withColumnRenamed("component", "cluster")
+    slim = holders.join(again, "node").join(labelled, "node").join(sets.select("node", "n"), "node")
+    parts = slim.groupBy("cluster", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("size"))
+    largest = parts.groupBy("cluster").agg(F.max(F.struct("size", "comp")).alias("x")).select("cluster", F.col("x.comp").alias("main"))
+    sized = parts.join(largest, "cluster").withColumn("inside", F.col("comp") == F.col("main"))
+    total = lambda inside, column: F.coalesce(F.sum(F.when(F.col("inside") == inside, F.col(column))), F.lit(0))
+    plan = (
+        sized.groupBy("cluster", "main")
+        .agg(total(True, "m").alias("m0"), total(True, "size").alias("s0"), total(False, "m").alias("m1"), total(False, "size").alias("s1"))
+        .filter("m1 > 0")
+        .select("cluster", "main", _blocks(F.col("s0"), F.col("m0")).alias("p"), _blocks(F.col("s1"), F.col("m1")).alias("q"))
+    )
+    # blocks 0 to q - 1 hold the sets outside the largest component, -1 to -p those of it; a group is two blocks
+    inside = F.col("comp") == F.col("main")
+    placed = materialize(
+        slim.join(plan, "cluster")
+        .withColumn("own", F.when(inside, -1 - _deal("node", F.col("p"))).otherwise(_deal("node", F.col("q"))))
+        .select("node", "cluster", "comp", "own", "p", "q")
+    )
+    outer = F.sequence(F.lit(0), F.col("q") - 1)
+    both = F.concat(F.filter(outer, lambda k: (k != F.col("own")) | (F.col("q") == 1)), F.sequence(-F.col("p"), F.lit(-1)))
+    met = placed.withColumn("other", F.explode(F.when(F.col("own") < 0, outer).otherwise(both)))
+    met = met.select(
+        "node", "cluster", "comp", (F.col("own") >= 0).alias("walks"),
+        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+    )
+    groups = sets.select("node", "tokens").join(met, "node")
+    return _joined(groups.select("cluster", "i", "j", "node", "comp", "walks", "tokens")).filter("not central").select("a", "b")
+
+
+def similarity_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b): links between distinct sets that connect all linked sets.
+
+    ``nodes``: node, n_shingles and the smallest doc_id of each distinct set.
+    """
+    edges = candidate_edges(docs, nodes)
+    sets = cluster_sets(docs, nodes, edges)
+    links, central = _block_links(sets, 0)
+    sizes = sets.groupBy("cluster").agg(_blocks(F.sum("n"), F.count("*")).alias("blocks"))
+    large = materialize(sizes.filter("blocks > 1").select("cluster"))
+    if large.isEmpty():
+        return links
+    for level in range(1, LEVELS):
+        more, central = _block_links(materialize(central), level)
+        links = links.unionByName(more)
+        if central.isEmpty():
+            break
+    rest = _rest_links(sets.join(large, "cluster", "left_semi"), edges, links)
+    return links if rest is None else links.unionByName(rest)
+
+
+def _rows_and_members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, node) of every row, and (node, component) of every distinct set."""
+    rows = materialize(map_texts(docs, _identify, "doc_id long, n_shingles long, node long"))
+    nodes = rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"))
+    nodes = materialize(nodes)
+    members = components(similarity_links(docs, nodes))
+    return rows, nodes.join(members, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -421,36 +566,59 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component (a component of null ids alone has a null id).  No table size, group size
     or text length changes what links.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = materialize(map_texts(docs, _identify, "doc_id long, n_shingles long, node long"))
-    nodes = rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"))
-    nodes = materialize(nodes)
-    members = components(similarity_links(docs, nodes))
-    labelled = nodes.join(members, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows, labelled = _rows_and_members(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     names = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = labelled.select("node", "component").join(names, "component").select("node", "component_id")
+    named = labelled.join(names, "component").select("node", "component_id")
     return rows.join(named, "node", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
 
+_NODE = "__shingle_set"
+
+
+def _add_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        nodes = [node_of(tokens) if len(tokens) else None for tokens in _text_sets(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], names=[*batch.schema.names, _NODE])
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component: the one of the smallest doc_id.
+    """``docs`` with one row of each component: the one of the smallest doc_id (null last, then by its set).
 
-    doc_id identifies a document; rows that repeat it with the same text count as one.
-    Rows with a null doc_id stay.
+    Rows are decided one by one, by doc_id and text: rows that share an id with unlike
+    texts are documents of their own, and rows without an id take part as any other.
+    Of rows that repeat the kept doc_id and set one stays.  Texts without words are
+    never dropped.
     """
-    found = materialize(near_duplicates(docs).filter(F.col("doc_id").isNotNull()))
-    removed = found.filter(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    if removed.count() <= BROADCAST_ROWS:
-        removed = F.broadcast(removed)
-    kept = docs.join(removed, "doc_id", "left_anti").select(*docs.columns)
-    repeated = found.filter(F.col("component_id") == F.col("doc_id")).groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if repeated.isEmpty():
+    rows, labelled = _rows_and_members(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    named = rows.filter("n_shingles > 0").join(labelled.select("node", "component"), "node").select("doc_id", "node", "component").distinct()
+    named = materialize(named)
+    keepers = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")).alias("keep"))
+    gone = named.join(keepers, "component").filter(
+        ~(F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("node") == F.col("keep.node")))
+    )
+    gone = materialize(gone.select("doc_id", "node"))
+    # ids of one row are decided by the id; texts are looked at again only for the others
+    several = materialize(rows.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    by_id = gone.filter("doc_id is not null").join(several, "doc_id", "left_anti").select("doc_id")
+    few = lambda df: F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    own = F.col("doc_id").cast("long")
+    single = docs.filter(own.isNotNull())
+    match = lambda df, other: df["doc_id"].cast("long") == other["doc_id"]
+    repeated = few(several)
+    by_id = few(by_id)
+    kept = single.join(by_id, match(single, by_id), "left_anti")
+    if several.isEmpty() and rows.filter("doc_id is null").isEmpty():
         return kept
-    repeated = materialize(repeated)
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    kept = kept.join(repeated, match(kept, repeated), "left_anti")
+    careful = single.join(repeated, match(single, repeated), "left_semi").unionByName(docs.filter(own.isNull()))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    noted = map_texts(careful, _add_nodes, f"{schema}, {_NODE} long")
+    out = gone.select(F.col("doc_id").alias("__id"), F.col("node").alias("__set"))
+    stay = noted.join(out, noted["doc_id"].cast("long").eqNullSafe(out["__id"]) & (noted[_NODE] == out["__set"]), "left_anti")
+    once = stay.filter(F.col(_NODE).isNotNull()).dropDuplicates(["doc_id", _NODE]).unionByName(stay.filter(F.col(_NODE).isNull()))
+    return kept.unionByName(once.select(*docs.columns))
 
 
 def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

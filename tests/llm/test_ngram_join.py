@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 from lumivox.llm import graph, ngram_join
+from pyspark.sql import functions as F
 
 from .helpers import SPACED, docs, lower
 
@@ -66,6 +67,7 @@ def test_against_brute_force(spark, seed):
 
 def test_blocks_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 300)
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 2)
     monkeypatch.setattr(ngram_join, "BUCKET", 500)
     monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)
     rows = corpus(3, 90)
@@ -73,6 +75,48 @@ def test_blocks_lose_no_link(spark, monkeypatch):
     assert sorted(((r[0], r[1], r[2]) for r in got), key=str) == brute_force(rows)
 
 
+def test_family_of_many_blocks(spark, monkeypatch):
+    """A family of near copies, a chain that leads away from it, and outsiders that share its passage."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 400)
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 2)
+    rng = random.Random(7)
+    base = [f"b{k}" for k in range(60)]
+    rows = []
+    for k in range(120):
+        words = list(base)
+        words[rng.randrange(60)] = f"x{k}"
+        rows.append((k, " ".join(words)))
+    chain = list(base)
+    for k in range(60):
+        chain[k] = f"c{k}"
+        rows.append((200 + k, " ".join(chain)))
+    rows += [(300 + k, " ".join(base[: 36 + k % 9] + [f"o{k}_{j}" for j in range(24)])) for k in range(40)]
+    rng.shuffle(rows)
+    got = ngram_join.near_duplicates(docs(spark, rows)).collect()
+    assert sorted(((r[0], r[1], r[2]) for r in got), key=str) == brute_force(rows)
+
+
+def test_walks_of_some_sets_against_known_components():
+    rng = np.random.default_rng(8)
+    for _ in range(20):
+        base = rng.integers(0, 60, (3, 25))
+        sets = [np.unique(np.where(rng.random(25) < 0.08, rng.integers(0, 60, 25), base[rng.integers(3)])).astype(np.uint64) for _ in range(16)]
+        sets = list({s.tobytes(): s for s in sets}.values())
+        known = [k if k < 4 else 100 for k in range(len(sets))]
+        tree = ngram_join.PrefixTree(sets, known)
+        tree.links([0, 1, 2, 3])
+        parent = graph.Forest()
+        for i, a in enumerate(sets):
+            if i > 4:
+                parent.union(4, i)
+            for j, b in enumerate(sets):
+                inter = len(np.intersect1d(a, b))
+                if i < 4 and 100 * inter >= 80 * (len(a) + len(b) - inter):
+                    parent.union(i, j)
+        same = lambda f: {(i, j) for i in range(len(sets)) for j in range(i) if f(i) == f(j)}
+        assert same(tree.find) == same(parent.find)
+
+
 def test_tree_finds_exactly_the_linked_components():
     rng = np.random.default_rng(5)
     for _ in range(30):
@@ -91,6 +135,13 @@ def test_tree_finds_exactly_the_linked_components():
         assert same(tree.find) == same(parent.find)
 
 
+def test_components_by_rounds(spark, monkeypatch):
+    monkeypatch.setattr(graph, "_LOCAL_EDGES", 8)
+    edges = [(k, k + 1) for k in range(100, 130)] + [(7, k) for k in range(200, 230)]
+    got = dict(graph.components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect())
+    assert all(got[k] == 100 for k in range(100, 131)) and all(got[k] == 7 for k in range(200, 230))
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(200, 230)] + [(5, 5), (3, 9), (9, 3)]
     got = dict(graph.components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect())
@@ -111,11 +162,28 @@ def test_near_copy_without_an_id_bridges_two_documents(spark, monkeypatch, broad
 
 def test_one_row_of_each_component_stays(spark):
     text = " ".join(f"w{k}" for k in range(40))
-    rows = [(4, text), (2, text + " x"), (9, "other words stand alone here"), (9, "other words stand alone here"), (11, None), (None, text)]
+    alone = "other words stand alone here"
+    rows = [(4, text), (2, text + " x"), (9, alone), (9, alone), (11, None), (None, text), (None, "a text without an id"), (12, "")]
     df = docs(spark, rows)
     kept = ngram_join.drop_near_duplicates(df)
     assert kept.columns == df.columns
-    assert sorted((r[0] for r in kept.collect()), key=str) == sorted([2, 9, 11, None], key=str)
+    assert sorted((r[0] for r in kept.collect()), key=str) == sorted([2, 9, 11, 12, None], key=str)
+
+
+def test_rows_that_share_an_id_are_decided_by_their_texts(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    unlike = "a wholly different text that stands alone"
+    rows = [(1, text), (2, text + " x"), (2, unlike), (3, unlike.upper()), (3, unlike), (None, text + " y"), (5, ""), (5, "")]
+    df = docs(spark, rows).withColumn("node", F.lit("mine")).withColumn("component", F.lit(1))
+    kept = ngram_join.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.select("doc_id", "text").collect())) == [(1, text), (2, unlike), (5, ""), (5, "")]
+
+
+def test_near_copies_without_ids_alone(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    kept = ngram_join.drop_near_duplicates(docs(spark, [(None, text), (None, text + " x"), (None, text)]))
+    assert kept.count() == 1
 
 
 def test_empty_table(spark):
