@@ -7,12 +7,19 @@ Words that can't belong to a window are skipped in bulk: a window of w words is
 run of w - 1 adjacent word pairs that all occur in the items, so only such runs
 reach the automaton.
 
-Benchmarks larger than ``block_words`` are split into several automata of bounded
-size; the documents stream through one after the other.
+The walk keeps no more than a window: a longer match moves to the state of its last w
+words, so that no more than w states lie above it on the suffix links, and what those
+hold is merged once per state.  Its cost per word doesn't depend on the items' lengths
+or repeats.
+
+Benchmarks of more than ``block_words`` words are split into blocks.  One block at a time
+comes to the driver, becomes an automaton and is run over the documents; only the hits
+are kept between blocks, by a digest of the text.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -21,9 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, map_texts, table, text_chunks, word_bounds, word_hashes
+from .common import ALNUM, map_texts, materialize, table, text_chunks, word_bounds, word_hashes
 
 WINDOW = 13
+#: Words of a block, whose automaton (some hundred bytes a word) is held by the driver and each worker.
+BLOCK_WORDS = 250_000
 
 
 @dataclass
@@ -88,6 +97,7 @@ class BenchmarkIndex:
             state = 0
             for word in codes.tolist():
                 state = self.automaton.extend(state, word)
+        self.cut = self._cuts()
         for item, codes in coded:
             size_here = min(window, len(codes))
             for state, matched in self._walk(codes.tolist()):
@@ -98,10 +108,20 @@ class BenchmarkIndex:
         self.holders: dict[int, list[tuple[int, tuple[int, ...]]]] = {}
         for (state, n), names in self.owners.items():
             self.holders.setdefault(state, []).append((n, names))
+        self._ending: dict[int, tuple[tuple[int, tuple[int, ...]], ...]] = {}
+
+    def _cuts(self) -> list[int]:
+        """For each state the one on its suffix links whose strings include the last ``window`` words."""
+        length, link = self.automaton.length, self.automaton.link
+        cut = list(range(len(length)))
+        for state in sorted(range(1, len(length)), key=length.__getitem__):
+            if length[link[state]] >= self.window:
+                cut[state] = cut[link[state]]
+        return cut
 
     def _walk(self, codes: list[int]) -> Iterator[tuple[int, int]]:
-        """State and longest matching length after each word; words outside the vocabulary are negative."""
-        step, length, link = self.automaton.step, self.automaton.length, self.automaton.link
+        """State and matching length, ``window`` at most, after each word; words outside the vocabulary are negative."""
+        step, length, link, cut, window = self.automaton.step, self.automaton.length, self.automaton.link, self.cut, self.window
         state = matched = 0
         for word in codes:
             while state and word not in step[state]:
@@ -110,6 +130,8 @@ class BenchmarkIndex:
             if word in step[state]:
                 state = step[state][word]
                 matched += 1
+                if matched >= window:
+                    state, matched = cut[state], window
             yield state, matched
 
     def _holder(self, state: int, size: int) -> int:
@@ -119,21 +141,33 @@ class BenchmarkIndex:
             state = link[state]
         return state
 
+    def _endings(self, state: int) -> tuple[tuple[int, tuple[int, ...]], ...]:
+        """(size, items) of all windows that end where the state's strings end, merged along its suffix links once."""
+        known = self._ending.get(state)
+        if known is None:
+            own, below = [], state
+            while below > 0:
+                own += self.holders.get(below, ())
+                below = self.automaton.link[below]
+            known = self._ending[state] = tuple(own)
+        return known
+
     def scan(self, codes: np.ndarray) -> tuple[list[tuple[int, int]], set[int]]:
         """Word ranges inside windows (merged, end exclusive) and the items whose windows occur, for one run."""
         spans: list[tuple[int, int]] = []
         found: set[int] = set()
-        link = self.automaton.link
+        least = self.sizes[0]
+        last = None
         for at, (state, matched) in enumerate(self._walk(codes.tolist()), 1):
-            if matched < self.sizes[0]:
+            if matched < least:
                 continue
-            longest, below = 0, state
-            while below > 0:
-                for n, names in self.holders.get(below, ()):
-                    if n <= matched:
+            longest = 0
+            for n, names in self._endings(state):
+                if n <= matched:
+                    longest = max(longest, n)
+                    if (state, matched) != last:
                         found.update(names)
-                        longest = max(longest, n)
-                below = link[below]
+            last = (state, matched)
             if longest:
                 begin = at - longest
                 while spans and spans[-1][1] >= begin:
@@ -172,25 +206,38 @@ def item_words(text: str | None) -> np.ndarray:
     return word_hashes(data, starts, ends)
 
 
-def build_indexes(benchmark: DataFrame, window: int, block_words: int) -> list[BenchmarkIndex]:
-    """Automata of at most ``block_words`` words each (a longer single item has one of its own).
+def _hashed_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = [item_words(t) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("item"), pa.array([len(w) for w in words], pa.int64()), pa.array([w.tobytes() for w in words], pa.binary())],
+            names=["item", "n", "words"],
+        )
+
 
-    Items stream to the driver one block at a time; rows without words are ignored.  Items
-    without an item_id have windows as any other, but no name.
+def item_blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str | None, np.ndarray]]]:
+    """Blocks of (item id as text, word fingerprints), of ``block_words`` words at most (or one longer item).
+
+    Rows without words are ignored; items without an item_id have windows as any other,
+    but no name.  Executors hash the words; the driver holds a block, and a partition of
+    about that size, at a time.
     """
-    blocks, items, total = [], [], 0
-    for row in benchmark.select(F.col("item_id").cast("string"), "text").filter(F.col("text").isNotNull()).toLocalIterator():
-        words = item_words(row[1])
-        if not len(words):
-            continue
-        if items and total + len(words) > block_words:
-            blocks.append(BenchmarkIndex(items, window))
-            items, total = [], 0
-        items.append((row[0], words))
-        total += len(words)
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
+    hashed = materialize(rows.filter(F.col("text").isNotNull()).mapInArrow(_hashed_items, "item string, n long, words binary").filter("n > 0"))
+    total = hashed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    parts = max(1, -(-int(total) // block_words))
+    if parts > 1:
+        hashed = hashed.repartition(parts, F.xxhash64("item", "words"))
+    items, size = [], 0
+    for row in hashed.toLocalIterator():
+        words = np.frombuffer(bytes(row["words"]), np.uint64)
+        if items and size + len(words) > block_words:
+            yield items
+            items, size = [], 0
+        items.append((row["item"], words))
+        size += len(words)
     if items:
-        blocks.append(BenchmarkIndex(items, window))
-    return blocks
+        yield items
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -203,66 +250,124 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _scan_batches(blocks: list[BenchmarkIndex]) -> object:
-    """The mapInArrow function; closes over the automata (sent once to each worker)."""
+def _scan_texts(index: BenchmarkIndex, column: pa.Array) -> Iterator[tuple[int, list[tuple[int, int]], list[str]]]:
+    """Of each text its number of words, hit code point ranges (merged) with their words, and sorted items.
+
+    Yields (n_words, [(start, end, words)], items).
+    """
+    for first, end, data, offsets in text_chunks(column):
+        starts, ends, first_words = word_bounds(data, offsets, ALNUM)
+        codes = index.codes(word_hashes(data, starts, ends))
+        spans: dict[int, list[tuple[int, int]]] = {}
+        items: dict[int, set[str]] = {}
+        for head, tail in zip(*index.runs(codes, first_words)):
+            ranges, found = index.scan(codes[head:tail])
+            if ranges:
+                row = int(np.searchsorted(first_words, head, "right")) - 1
+                origin = int(head - first_words[row])
+                spans.setdefault(row, []).extend((a + origin, b + origin) for a, b in ranges)
+                items.setdefault(row, set()).update(index.names[k] for k in found if index.names[k] is not None)
+        counts = np.diff(first_words)
+        for row in range(end - first):
+            ranges = _merged(spans.get(row, []))
+            if ranges:  # word ranges become code point ranges of the text
+                points = np.cumsum((data[offsets[row] : offsets[row + 1]] & 0xC0) != 0x80)
+                at = lambda byte: int(points[byte - 1]) if byte else 0  # noqa: B023, E731
+                base, own = offsets[row], first_words[row]
+                ranges = [(at(starts[own + a] - base), at(ends[own + b - 1] - base), a, b) for a, b in ranges]
+            yield int(counts[row]), ranges, sorted(items.get(row, ()))
+
+
+def _scan_batches(index: BenchmarkIndex | None, key: str, hits_only: bool = False) -> object:
+    """The mapInArrow function; closes over one automaton (sent once to each worker)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words_out, hits, spans_out, items_out = [], [], [], []
-            for first, end, data, offsets in text_chunks(batch.column("text")):
-                starts, ends, first_words = word_bounds(data, offsets, ALNUM)
-                hashes = word_hashes(data, starts, ends)
-                spans: dict[int, list[tuple[int, int]]] = {}
-                items: dict[int, set[str]] = {}
-                for index in blocks:
-                    codes = index.codes(hashes)
-                    for head, tail in zip(*index.runs(codes, first_words)):
-                        ranges, found = index.scan(codes[head:tail])
-                        if ranges:
-                            row = int(np.searchsorted(first_words, head, "right")) - 1
-                            origin = int(head - first_words[row])
-                            spans.setdefault(row, []).extend((a + origin, b + origin) for a, b in ranges)
-                            items.setdefault(row, set()).update(index.names[k] for k in found if index.names[k] is not None)
-                counts = np.diff(first_words)
-                for row in range(end - first):
-                    ranges = _merged(spans.get(row, []))
-                    words_out.append(int(counts[row]))
-                    hits.append(sum(b - a for a, b in ranges))
-                    items_out.append(sorted(items.get(row, ())))
-                    if ranges:  # word ranges become code point ranges of the text
-                        text = data[offsets[row] : offsets[row + 1]]
-                        points = np.cumsum((text & 0xC0) != 0x80)
-                        at = lambda byte: int(points[byte - 1]) if byte else 0
-                        base, own = offsets[row], first_words[row]
-                        ranges = [(at(starts[own + a] - base), at(ends[own + b - 1] - base)) for a, b in ranges]
-                    spans_out.append([{"start": a, "end": b} for a, b in ranges])
+            if index is None:
+                counts = [len(word_bounds(d, o, ALNUM)[0]) for t in batch.column("text") for _, _, d, o in text_chunks(pa.array([t.as_py()], pa.string()))]
+                found = [(n, [], []) for n in counts]
+            else:
+                found = list(_scan_texts(index, batch.column("text")))
+            keys = batch.column(key)
+            if hits_only:
+                keep = [k for k, (_, ranges, _) in enumerate(found) if ranges]
+                found, keys = [found[k] for k in keep], keys.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(words_out, pa.int64()), pa.array(hits, pa.int64()),
-                 pa.array(items_out, pa.list_(pa.string())), pa.array(spans_out, SPANS)],
-                names=["doc_id", "n_words", "n_hit", "items", "spans"],
+                [keys, pa.array([n for n, _, _ in found], pa.int64()),
+                 pa.array([sum(b - a for _, _, a, b in ranges) for _, ranges, _ in found], pa.int64()),
+                 pa.array([names for _, _, names in found], pa.list_(pa.string())),
+                 pa.array([[dict(zip(("start", "end", "first", "last"), r)) for r in ranges] for _, ranges, _ in found], SPANS)],
+                names=[key, "n_words", "n_hit", "items", "spans"],
             )
 
     return run
 
 
-SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+SPANS = pa.list_(pa.struct([(name, pa.int64()) for name in ("start", "end", "first", "last")]))
+_SPANS_SQL = "array<struct<start:long,end:long,first:long,last:long>>"
+_FOUND = f"n_words long, n_hit long, items array<string>, spans {_SPANS_SQL}"
 
 
-def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = 1_000_000
-) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit, items (sorted ids), spans (code point ranges of hit text).
+def _union_spans(spans):
+    """Sorted spans of several blocks, merged where their words touch."""
 
-    A row for each input row, repeated doc_ids included; a null or wordless text has
-    0 words and no hits; a null doc_id stays null.  An empty benchmark hits nothing.
-    Further columns of either table are ignored.  Adjacent hit ranges are merged.
-    """
-    blocks = build_indexes(benchmark, window, block_words)
-    schema = (
-        f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, n_hit long, "
-        "items array<string>, spans array<struct<start:long,end:long>>"
+    def grow(out, s):
+        last = F.element_at(out, -1)
+        joined = F.concat(
+            F.slice(out, F.lit(1), F.size(out) - 1),
+            F.array(F.struct(
+                last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"),
+                last["first"].alias("first"), F.greatest(last["last"], s["last"]).alias("last"),
+            )),
+        )
+        return F.when((F.size(out) > 0) & (s["first"] <= F.get(out, F.size(out) - 1)["last"]), joined).otherwise(F.concat(out, F.array(s)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast(_SPANS_SQL), grow)
+
+
+def _digest(text: str = "text"):
+    return F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
+
+
+def _found_by_blocks(docs: DataFrame, blocks: Iterator, window: int) -> DataFrame:
+    """(doc_id, n_words, n_hit, items, spans) of several blocks; hits are functions of the text, so its digest carries them."""
+    texts = docs.select(_digest().alias("digest"), "text")
+    hits = None
+    for items in blocks:
+        found = map_texts(texts, _scan_batches(BenchmarkIndex(items, window), "digest", True), f"digest string, {_FOUND}")
+        found = materialize(found.dropDuplicates(["digest"]))
+        hits = found if hits is None else hits.unionByName(found)
+    own = hits.groupBy("digest").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        _union_spans(F.flatten(F.collect_list("spans"))).alias("spans"),
+    )
+    every = map_texts(
+        docs.select(F.struct("doc_id", _digest().alias("digest")).alias("row"), "text"),
+        _scan_batches(None, "row"),
+        f"row struct<doc_id:{docs.schema['doc_id'].dataType.simpleString()},digest:string>, {_FOUND}",
     )
-    return map_texts(docs.select("doc_id", F.col("text").cast("string")), _scan_batches(blocks), schema)
+    joined = every.select("row.doc_id", "row.digest", "n_words").join(own, "digest", "left")
+    spans = F.coalesce("spans", F.array().cast(_SPANS_SQL))
+    n_hit = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
+    return joined.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), spans.alias("spans"))
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_words, n_hit, items (sorted ids), spans (of hit text).
+
+    Spans are code point ranges (start, end) and word ranges (first, last), ends
+    exclusive; hit ranges that touch are merged.  A row for each input row, repeated
+    doc_ids included; a null or wordless text has 0 words and no hits; a null doc_id
+    stays null.  An empty benchmark hits nothing.  Further columns of either table are
+    ignored.
+    """
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    blocks = item_blocks(benchmark, block_words)
+    first, second = next(blocks, None), next(blocks, None)
+    if second is not None:
+        return _found_by_blocks(docs, itertools.chain([first, second], blocks), window)
+    index = BenchmarkIndex(first, window) if first else None
+    return map_texts(docs, _scan_batches(index, "doc_id"), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {_FOUND}")
 
 
 def is_contaminated(coverage: int = 20):
@@ -270,42 +375,105 @@ def is_contaminated(coverage: int = 20):
     return (F.col("n_hit") > 0) & (coverage * F.col("n_hit") >= F.col("n_words"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: int = 20) -> DataFrame:
-    """``docs`` without contaminated rows and, in the others, without the hit spans.
+def _cut(text: str, ranges) -> str:
+    pieces, last = [], 0
+    for start, end in ranges:
+        pieces.append(text[last:start])
+        last = end
+    return "".join([*pieces, text[last:]])
+
+
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: int = 20, block_words: int = BLOCK_WORDS
+) -> DataFrame:
+    """``docs`` without contaminated rows and, in the others, without benchmark windows.
 
     Rows whose hits reach 1/``coverage`` of their words go; in rows below that, every
-    span that a window covers is cut out of ``text`` and ``n_chars`` (where there is
+    span that a window covers is cut out of ``text``, and again whatever windows the
+    words before and after a cut form, until none is left; ``n_chars`` (where there is
     such a column) follows.  Rows without hits are returned unchanged.
     """
-    blocks = build_indexes(benchmark, window, 1_000_000)
-    schema = docs.schema
-    scan = _scan_batches(blocks)
+    blocks = item_blocks(benchmark, block_words)
+    first, second = next(blocks, None), next(blocks, None)
+    if first is None:
+        return docs
+    if second is not None:
+        return _decontaminate_by_blocks(docs, itertools.chain([first, second], blocks), window, coverage)
+    index = BenchmarkIndex(first, window)
+
+    def clean(text: str, ranges: list) -> str:
+        while ranges:
+            text = _cut(text, [r[:2] for r in ranges])
+            _, ranges, _ = next(_scan_texts(index, pa.array([text], pa.string())))
+        return text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column("text")
-            found = next(scan(iter([pa.RecordBatch.from_arrays([text, text], names=["doc_id", "text"])])))
-            hits, words = found.column("n_hit").to_numpy(), found.column("n_words").to_numpy()
-            rows = np.flatnonzero(hits)
+            found = list(_scan_texts(index, text.cast(pa.string())))
+            hits = [sum(b - a for _, _, a, b in ranges) for _, ranges, _ in found]
+            kept = [h == 0 or coverage * h < n for h, (n, _, _) in zip(hits, found)]
             columns = {name: batch.column(name) for name in batch.schema.names}
-            if len(rows):
+            rows = [k for k, h in enumerate(hits) if h and kept[k]]
+            if rows:
                 texts = text.to_pylist()
-                for row in rows.tolist():
-                    own, last, pieces = texts[row], 0, []
-                    for span in found.column("spans")[row].as_py():
-                        pieces.append(own[last : span["start"]])
-                        last = span["end"]
-                    texts[row] = "".join([*pieces, own[last:]])
+                for row in rows:
+                    texts[row] = clean(texts[row], found[row][1])
                 columns["text"] = pa.array(texts, text.type)
                 if "n_chars" in columns:
                     sizes = columns["n_chars"].to_pylist()
-                    for row in rows.tolist():
+                    for row in rows:
                         sizes[row] = len(texts[row])
                     columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
-            keep = pa.array((hits == 0) | (coverage * hits < words))
-            yield pa.RecordBatch.from_arrays(list(columns.values()), schema=batch.schema).filter(keep)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), schema=batch.schema).filter(pa.array(kept, pa.bool_()))
+
+    return map_texts(docs, run, docs.schema)
+
 
-    return map_texts(docs, run, schema)
+def _decontaminate_by_blocks(docs: DataFrame, blocks: Iterator, window: int, coverage: int) -> DataFrame:
+    """``decontaminate`` with several blocks: the hits of all blocks decide and are cut; cut texts are looked at again.
+
+    The blocks are kept as rows in the shared folder and come to the driver one at a time, each time anew.
+    """
+    spark, columns = docs.sparkSession, docs.columns
+    stored = None
+    for items in blocks:
+        rows = [(name, words.tobytes()) for name, words in items]
+        block = materialize(spark.createDataFrame(rows, "item string, words binary"))
+        stored = [*(stored or []), block]
+
+    def again():
+        for block in stored:
+            yield [(r["item"], np.frombuffer(bytes(r["words"]), np.uint64)) for r in block.toLocalIterator()]
+
+    def found(frame: DataFrame) -> DataFrame:
+        slim = frame.select(_digest().alias("doc_id"), F.col("text").cast("string").alias("text"))
+        hits = _found_by_blocks(slim, again(), window).filter("n_hit > 0")
+        return materialize(hits.select(F.col("doc_id").alias("__digest"), is_contaminated(coverage).alias("__out"), F.col("spans").alias("__spans")).dropDuplicates(["__digest"]))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [_cut(t, [(s["start"], s["end"]) for s in spans]) for t, spans in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist())]
+            own = {name: batch.column(name) for name in columns}
+            own["text"] = pa.array(texts, own["text"].type)
+            if "n_chars" in own:
+                own["n_chars"] = pa.array([len(t) for t in texts], own["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(own.values()), names=columns)
+
+    clean, rest, first = [], docs, True
+    while True:
+        hits = found(rest)
+        marked = rest.withColumn("__digest", _digest())
+        clean.append(marked.join(hits, "__digest", "left_anti").select(*columns))
+        if hits.isEmpty():
+            break
+        touched = marked.join(hits if not first else hits.filter("not __out"), "__digest")
+        rest = materialize(map_texts(touched.select(*columns, "__spans"), cut, docs.schema))
+        first = False
+    out = clean[0]
+    for part in clean[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def op6_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
@@ -329,7 +497,7 @@ WITH d AS (
 b AS (
   SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
 bw AS (
   SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS gram
   FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
@@ -340,7 +508,7 @@ dw AS (
 m AS (SELECT r, dw.n, i, item FROM dw JOIN bw ON dw.n = bw.n AND dw.gram = bw.gram),
 hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM m) GROUP BY r),
 it AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-       FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
+       FROM (SELECT DISTINCT r, item FROM m WHERE item IS NOT NULL) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import pytest
 from lumivox.llm import decontamination as dc
@@ -62,6 +63,31 @@ def test_spans_are_code_points_and_are_cut(spark):
     assert out[3]["text"] == "nothing here" and out[4]["text"] is None
 
 
+@pytest.mark.parametrize("block", [10**6, 20])
+def test_no_window_is_left_where_text_is_cut(spark, block):
+    item = [f"b{k}" for k in range(20)]
+    other = " ".join(f"c{k}" for k in range(15))
+    clean = "é " * 900
+    rows = [(1, clean + " ".join([*item[:6], *item, *item[6:14]])), (2, clean + " ".join([*item[:8], other, *item[8:]]) + " end"), (3, "plain"), (4, None), (5, other), (5, "plain")]
+    df = docs(spark, rows)
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, other)], "item_id long, text string")
+    out = dc.decontaminate(df, bench, block_words=block)
+    assert out.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"], r["n_chars"]) for r in out.collect()), key=str)
+    assert [(d, t) for d, t, _ in got] == [(1, clean), (2, clean + " end"), (3, "plain"), (4, None), (5, "plain")]
+    assert all(n == (None if t is None else len(t)) for _, t, n in got)
+    assert dc.find_contamination(out, bench).filter("n_hit > 0").count() == 0
+
+
+def test_long_repeats_take_linear_time():
+    index = dc.BenchmarkIndex([("a", dc.item_words("same " * 2000)), ("b", dc.item_words("one two " * 1000))])
+    codes = index.codes(dc.item_words("same " * 100_000 + "two one " * 50_000))
+    began = time.monotonic()
+    spans, found = index.scan(codes)
+    assert time.monotonic() - began < 3
+    assert sum(b - a for a, b in spans) == 200_000 and found == {0, 1}
+
+
 def test_item_without_an_id_hits_but_has_no_name(spark):
     items = [(None, " ".join(f"b{k}" for k in range(14))), (5, " ".join(f"c{k}" for k in range(14)))]
     df = docs(spark, [(1, items[0][1]), (2, f"{items[0][1]} and {items[1][1]}"), (3, "é " * 400 + items[0][1])])
