@@ -1,6 +1,11 @@
+import html
+import re
+import time
+
 import pytest
 from lumivox.llm import html_text
 
+DATA = "/root/testdata/sf0.001"
 TREE = html_text.trained_tree()
 FRAME = "<html><head><title>T of page</title><style>p{x:1}</style><script>var a='</p>';</script></head><body>{0}</body></html>"
 STORY = "The long story goes on for many words until it ends in a way that nobody had thought of before."
@@ -29,9 +34,54 @@ def test_broken_pages_do_not_crash(page):
     assert isinstance(html_text.main_text(page, TREE), str)
 
 
-def test_tree_separates_its_table():
-    rows = html_text.LABELLED
-    assert ((TREE.predict(rows[:, :-1]) >= 0.5) == rows[:, -1]).all()
+@pytest.mark.parametrize(
+    ("body", "text"),
+    [
+        (f'<div class="wrap header-fixed"><article><p>{STORY}</p></article></div>', STORY),
+        (f'<main><div class="search-results"><p>{STORY}</p></div></main>', STORY),
+        (f'<article><section class="notice-of-law"><p>{STORY}</p></section></article>', STORY),
+        (f"<article><fieldset><p>{STORY}</p></fieldset></article>", STORY),
+        (f"<h1>News</h1><p>{STORY}</p><p>Short one.</p><p>Yes.</p><p>{STORY}</p>", f"News\n{STORY}\nShort one.\nYes.\n{STORY}"),
+        (f"<p>{STORY}</p><p>Yes.</p><div class=sidebar><p>{STORY}</p></div>", f"{STORY}\nYes."),
+        (f"<article><p>let <math><mi>x</mi> = 2</math> and <object>a picture</object> be</p><p>{STORY}</article>", f"let x = 2 and a picture be\n{STORY}"),
+        (f"<article><svg><title>one</title><g><p>{STORY}</article>", STORY),
+        (f"<article><p>{STORY}</p></article><aside><article><h2>Other</h2><p>{STORY}</p></article></aside>", STORY),
+        (f"<article><p>{STORY}</p></article><div class=comments><article class=comment-body><p>{STORY}</p></article></div>", STORY),
+        (f"<div class=content><p>{STORY}</p><p>Now.</p></div><div class='newsletter-signup'><p>{STORY}</p></div><div class='cookie-banner'>{STORY}</div>", f"{STORY}\nNow."),
+        (f"<article><header><h1>Title here</h1></header><p>{STORY}</p><noscript>{STORY}</noscript></article>", f"Title here\n{STORY}\n{STORY}"),
+    ],
+)
+def test_places_and_names(body, text):
+    assert html_text.main_text(FRAME.replace("{0}", body), TREE) == text
+
+
+def test_tree_separates_its_pages():
+    for page, labels in html_text.LABELLED:
+        found = html_text.blocks(page)
+        assert "".join(str(int(p >= 0.5)) for p in TREE.predict(html_text.features(found))) == labels, page[:80]
+
+
+def test_registered_query_against_the_pages_layout(spark):
+    """Supplied pages have one layout, so plain patterns find the article's headline and paragraphs."""
+    got = {r["page_id"]: r for r in html_text.op9_html_extraction(spark, DATA).collect()}
+    pages = spark.read.parquet(f"{DATA}/pages.parquet").collect()
+    assert len(got) == len(pages)
+    for r in pages:
+        inner = re.search(r"<article>(.*)</article>", r["html"], re.S)[1]
+        parts = re.split(r"</?(?:h1|p)>", re.sub(r"<!--.*?-->", "", inner, flags=re.S))
+        texts = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", "", re.sub("<br>", " ", p)))).strip() for p in parts]
+        want = "\n".join(t for t in texts if t)
+        assert got[r["page_id"]]["text"] == want and got[r["page_id"]]["n_chars"] == len(want)
+
+
+@pytest.mark.parametrize("mess", ["</p>", "</b>", "<title>", "<svg>", "</a>", "<p>"])
+def test_deep_nesting_is_linear(mess):
+    def seconds(n):
+        began = time.monotonic()
+        html_text.blocks("<div>" * n + mess * n)
+        return time.monotonic() - began
+
+    assert seconds(32_000) < 8 * max(seconds(8_000), 0.05)
 
 
 def test_long_page_is_linear():
