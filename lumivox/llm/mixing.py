@@ -6,9 +6,11 @@ epochs of a source come first; the rest of its target is filled in key order by
 prefix sums of document sizes.
 
 The order inside a source is never sorted as a whole: keys fall into bins whose
-sizes are summed (pre-aggregated), the bins' prefix sums show the one bin in which
-the budget ends, and only that bin's documents are ordered.  A source that holds a
-third of all rows therefore costs its bins, not a sort in one task.
+sizes are summed (pre-aggregated), and the bins' prefix sums show the one bin in which
+the budget ends.  While that bin holds more than ``EDGE_ROWS`` documents, whatever the
+weights have made of the keys, it is cut into bins again; then its documents alone are
+ordered.  A source that holds a third of all rows therefore costs its bins, not a sort
+in one task.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from .common import materialize, table
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 #: Bins of keys for each source.
 BINS = 4096
+#: Up to this many documents of a source are ordered in one task.
+EDGE_ROWS = 20_000
 #: Up to this many sources their totals are broadcast (a few dozen bytes each); beyond, they are joined by shuffle.
 BROADCAST_SOURCES = 20_000
 
@@ -42,19 +46,22 @@ def quality_weight(text: str = "text"):
     return F.when(whole > 0, F.greatest(plain / whole, F.lit(0.0625))).otherwise(F.lit(1.0))
 
 
-def _uniform(doc_id: str, seed: int):
-    """A number strictly between 0 and 1 from the md5 of seed and doc_id."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).cast("binary"))
+def _uniform(seed: int):
+    """A number strictly between 0 and 1 from the md5 of seed, doc_id and text: rows without an id differ, too."""
+    text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), text).cast("binary"))
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / float(16**12)
 
 
-def sampling_keys(docs: DataFrame, seed: int = 8, weight=None) -> DataFrame:
-    """``docs`` with ``_size``, ``_key`` (-ln(u) / weight: the smaller, the earlier it is drawn) and ``_tie``."""
+def sampling_keys(docs: DataFrame, kept: list[str], seed: int = 8, weight=None) -> DataFrame:
+    """source, size, key (-ln(u) / weight: the smaller, the earlier it is drawn), tie, and ``row`` of the ``kept`` columns."""
     weight = quality_weight() if weight is None else weight
-    return (
-        docs.withColumn("_size", word_count())
-        .withColumn("_key", -F.log(_uniform("doc_id", seed)) / weight)
-        .withColumn("_tie", F.xxhash64("doc_id", "text"))
+    return docs.select(
+        F.col("source"),
+        word_count().alias("size"),
+        (-F.log(_uniform(seed)) / weight).alias("key"),
+        F.xxhash64("doc_id", "text").alias("tie"),
+        F.struct(*kept).alias("row"),
     )
 
 
@@ -96,87 +103,108 @@ def small(by_source: DataFrame) -> DataFrame:
     return F.broadcast(by_source) if by_source.count() <= BROADCAST_SOURCES else by_source
 
 
-def selection(keyed: DataFrame) -> DataFrame:
-    """Per source: source_size, target, epochs and the last (key, tie, size) that the fractional part draws.
+def _edges(bins: DataFrame, plan: DataFrame) -> DataFrame:
+    """Of each source's bins (source, bin, size, rows, lo, hi) the one in which its budget ends.
 
-    ``keyed``: source, size, key, tie.  Documents are drawn in the order of (key, tie,
-    size) while the source stays nearer its target with the next one than without it;
-    all documents of equal key, tie and size count as drawn together only if they are
-    the same draw, which ``tie`` (a hash of id and text) makes sure of except for rows
-    that repeat exactly.
+    ``plan``: s, start (what lies before the first bin) and budget.  Returns source, lo, hi, rows, start, budget.
     """
-    bin_of = F.floor((1 - F.exp(-F.col("key"))) * BINS).cast("long")
-    slim = keyed.select("source", "size", "key", "tie", bin_of.alias("bin"))
-    bins = slim.groupBy("source", "bin").agg(F.sum("size").alias("size"))
-    targets = small(source_targets(bins.groupBy("source").agg(F.sum("size").alias("source_size"))))
     so_far = W.partitionBy("source").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
-    edge = (
+    return (
         bins.withColumn("before", F.coalesce(F.sum("size").over(so_far), F.lit(0)))
-        .join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+        .join(plan, F.col("source").eqNullSafe(F.col("s")))
+        .withColumn("before", F.col("start") + F.col("before"))
         .filter((F.col("before") < F.col("budget")) & (F.col("before") + F.col("size") >= F.col("budget")))
-        .select("source", "bin", "before", "budget")
+        .select("source", "lo", "hi", "rows", F.col("before").alias("start"), "budget")
     )
+
+
+def _binned(slim: DataFrame, bin_) -> DataFrame:
+    return slim.groupBy("source", bin_.alias("bin")).agg(
+        F.sum("size").alias("size"), F.count("*").alias("rows"), F.min("key").alias("lo"), F.max("key").alias("hi")
+    )
+
+
+def selection(slim: DataFrame) -> DataFrame:
+    """Per source: source_size, target, epochs and where the fractional part's draw ends.
+
+    ``slim``: source, size, key, tie.  Documents are drawn in the order of (key, tie,
+    size) while the source stays nearer its target with the next one than without it;
+    rows of equal key, tie and size are one draw (``tie``, a hash of id and text, and the
+    key make these rows that repeat exactly).  All documents of a key below ``lo`` are
+    drawn, and those up to ``last``; both are null where nothing is drawn.
+    """
+    slim = materialize(slim)
+    bins = materialize(_binned(slim, F.floor((1 - F.exp(-F.col("key"))) * BINS).cast("long")))
+    targets = small(source_targets(bins.groupBy("source").agg(F.sum("size").alias("source_size"))))
+    edge = materialize(_edges(bins, targets.select(F.col("source").alias("s"), F.lit(0).alias("start"), "budget")))
+    large = (F.col("rows") > EDGE_ROWS) & (F.col("lo") < F.col("hi"))
+    while not edge.filter(large).isEmpty():  # a bin's keys are never all equal here, so each round cuts it
+        inside = _inside(slim, small(edge.filter(large)))
+        cut = F.floor((F.col("key") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS).cast("long")
+        bins = _binned(inside.select("source", "size", "key", cut.alias("cut")), F.col("cut"))
+        plan = edge.filter(large).select(F.col("source").alias("s"), "start", "budget")
+        edge = materialize(edge.filter(~large).unionByName(_edges(bins, plan)))
     edge = small(edge)
-    e = edge.select(F.col("source").alias("s"), F.col("bin").alias("b"), "before", "budget")
-    inside = slim.join(e, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b")))
     order = W.partitionBy("source").orderBy("key", "tie", "size").rowsBetween(W.unboundedPreceding, 0)
-    drawn = inside.withColumn("upto", F.col("before") + F.sum("size").over(order)).filter(
-        F.col("upto") - F.col("size") / 2 < F.col("budget")
-    )
-    last = drawn.groupBy("source").agg(
-        F.max(F.struct("key", "tie", "size")).alias("last"), F.min("bin").alias("bin")
+    last = (
+        _inside(slim, edge)
+        .groupBy("source", "key", "tie", "size", "start", "budget")
+        .agg(F.sum("size").alias("all"))
+        .withColumn("upto", F.col("start") + F.sum("all").over(order))
+        .filter(F.col("upto") - F.col("all") / 2 < F.col("budget"))
+        .groupBy("source")
+        .agg(F.max(F.struct("key", "tie", "size")).alias("last"))
     )
-    # where not even the first document of the edge bin is drawn, the bins before it are
-    mark = edge.alias("e").join(
-        last.select(F.col("source").alias("s"), "last"), F.col("source").eqNullSafe(F.col("s")), "left"
-    ).select(F.col("source").alias("m"), "bin", "last")
-    return targets.join(mark, F.col("source").eqNullSafe(F.col("m")), "left").drop("m")
+    # where not even the first document of the edge bin is drawn, those before it are
+    marks = edge.join(last.withColumnRenamed("source", "m"), F.col("source").eqNullSafe(F.col("m")), "left").select(F.col("source").alias("m"), "lo", "last")
+    return targets.join(marks, F.col("source").eqNullSafe(F.col("m")), "left").select("source", "source_size", "target", "epochs", "lo", "last")
+
+
+def _inside(slim: DataFrame, edge: DataFrame) -> DataFrame:
+    """The rows of ``slim`` in their source's edge bin, with its bounds."""
+    e = edge.select(F.col("source").alias("s"), "lo", "hi", "start", "budget")
+    return slim.join(e, F.col("source").eqNullSafe(F.col("s")) & F.col("key").between(F.col("lo"), F.col("hi"))).drop("s")
 
 
 def mix_sources(docs: DataFrame, seed: int = 8, weight=None) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``taken`` (words that the mix takes of it).
 
-    ``docs``: doc_id, text, source and any further columns, which are kept (columns of
-    the four new names are replaced).  ``weight``: quality weights as a positive column,
-    by default ``quality_weight``.  Null texts have size 0 and are never taken; null
-    sources form a source that stands last.  Rows that repeat exactly (same doc_id and
-    text) are drawn together.  A source of no words has target 0.  Equal inputs give
-    equal mixes.  No document is taken more than twice; each source's taken words differ
-    from its target by at most half of the document at the edge, repeats of it included.
-    An empty table gives no rows.
+    ``docs``: doc_id, text, source and any further columns, which are kept whatever their
+    names (columns of the four new names are replaced).  ``weight``: quality weights as a
+    positive column, by default ``quality_weight``.  Null texts have size 0 and are never
+    taken; null sources form a source that stands last.  Rows that repeat exactly (same
+    doc_id and text) are drawn together.  A source of no words has target 0.  Equal
+    inputs give equal mixes.  No document is taken more than twice; each source's taken
+    words differ from its target by at most half of the document at the edge, repeats of
+    it included.  An empty table gives no rows.
     """
-    extra = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
-    return draw(sampling_keys(docs.select(*extra), seed, weight), extra)
-
-
-def draw(keyed: DataFrame, extra: list[str]) -> DataFrame:
-    """``extra`` columns of ``keyed`` (source, _size, _key and _tie besides) with the mix's decisions."""
-    plan = selection(
-        keyed.select("source", F.col("_size").alias("size"), F.col("_key").alias("key"), F.col("_tie").alias("tie"))
-    ).withColumnsRenamed({"source": "_source", "bin": "_bin", "last": "_last"})
-    plan = small(plan)
-    bin_of = F.floor((1 - F.exp(-F.col("_key"))) * BINS).cast("long")
-    own = F.struct(F.col("_key").alias("key"), F.col("_tie").alias("tie"), F.col("_size").alias("size"))
-    drawn = (bin_of < F.col("_bin")) | ((bin_of == F.col("_bin")) & (own <= F.col("_last")))
-    return keyed.join(plan, F.col("source").eqNullSafe(F.col("_source"))).select(
-        *extra,
-        F.col("_size").alias("size"),
+    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
+    return draw(sampling_keys(docs, kept, seed, weight), kept)
+
+
+def draw(keyed: DataFrame, kept: list[str]) -> DataFrame:
+    """``kept`` columns of ``keyed`` (as ``sampling_keys`` makes it) with the mix's decisions."""
+    plan = small(selection(keyed.select("source", "size", "key", "tie"))).withColumnRenamed("source", "s")
+    own = F.struct("key", "tie", keyed["size"].alias("size"))
+    drawn = F.coalesce((F.col("key") < F.col("lo")) | (own <= F.col("last")), F.lit(False))
+    return keyed.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
+        *(F.col("row").getField(c).alias(c) for c in kept),
+        F.col("size"),
         "source_size",
         "target",
-        (F.col("_size") * (F.col("epochs") + F.coalesce(drawn, F.lit(False)).cast("long"))).alias("taken"),
+        (F.col("size") * (F.col("epochs") + drawn.cast("long"))).alias("taken"),
     )
 
 
 def op8_source_mixing(spark, sf_dir: str) -> DataFrame:
     """The mix of all documents by source; texts are read once, for sizes and weights."""
-    keyed = sampling_keys(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text")
-    return draw(materialize(keyed), ["doc_id"])
+    return draw(materialize(sampling_keys(table(spark, sf_dir, "documents"), ["doc_id"])), ["doc_id"])
 
 
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-    -ln((CAST('0x' || substr(md5('8:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) + 0.5) / 281474976710656.0)
+    -ln((CAST('0x' || substr(md5('8:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 12) AS BIGINT) + 0.5) / 281474976710656.0)
       / CASE WHEN length(text) > 0 THEN greatest(
           CAST(length(translate(text, '#$%&*!|{}<>=_0123456789', '')) AS DOUBLE) / length(text), 0.0625) ELSE 1.0 END AS key
   FROM documents),

@@ -3,6 +3,7 @@ import random
 
 import pytest
 from lumivox.llm import mixing
+from pyspark.sql import functions as F
 
 from .helpers import SPACED, docs
 
@@ -77,6 +78,44 @@ def test_odd_rows(spark):
     assert mixing.mix_sources(docs(spark, data).limit(0)).count() == 0
 
 
+def test_own_columns_and_a_wide_range_of_weights(spark, monkeypatch):
+    """Columns named as the plan's own, weights from 0.01 to 1, and edge bins that must be cut again and again."""
+    rng = random.Random(6)
+    data = [(k, " ".join(["word"] * rng.choice([1, 7, 30])), rng.choice(["a", "b", "c"])) for k in range(3000)]
+    df = docs(spark, data)
+    for name in ("epochs", "budget", "_size", "_key", "_tie", "key", "row", "lo", "last", "s", "bin", "weight"):
+        df = df.withColumn(name, F.lit(name))
+    df = df.withColumn("weight", F.pow(F.lit(10.0), -F.pmod(F.xxhash64("doc_id"), F.lit(201)) / 100))
+    runs = []
+    for edge in (20_000, 10, 1):
+        monkeypatch.setattr(mixing, "EDGE_ROWS", edge)
+        monkeypatch.setattr(mixing, "BINS", 4096 if edge > 10 else 7)
+        out = mixing.mix_sources(df, weight=F.col("weight"))
+        assert set(df.columns) <= set(out.columns)
+        got = out.collect()
+        assert len(got) == 3000 and all(r["epochs"] == "epochs" and r["_size"] == "_size" and r["key"] == "key" for r in got)
+        runs.append(sorted((r["doc_id"], r["taken"]) for r in got))
+        for source in "abc":
+            own = [r for r in got if r["source"] == source]
+            assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 15
+    assert runs[0] == runs[1] == runs[2]
+    taken = dict(runs[0])
+    heavy = [r["doc_id"] for r in got if r["weight"] > 0.5 and r["source"] == "c"]
+    light = [r["doc_id"] for r in got if r["weight"] < 0.02 and r["source"] == "c"]
+    size = {k: len(t.split()) for k, t, _ in data}
+    share = lambda ids: sum(taken[k] > size[k] * (min(taken[i] // size[i] for i in heavy + light)) for k in ids) / len(ids)
+    assert share(heavy) > share(light)
+
+
+def test_rows_without_ids_are_drawn_apart(spark):
+    data = [(None, f"word number {k} here", "a") for k in range(400)] + [(1, "same text", "b")] * 50 + [(2, "other text of it", "b")] * 50
+    got = mixing.mix_sources(docs(spark, data)).collect()
+    more = {r["taken"] for r in got if r["doc_id"] is None}
+    assert len(more) == 2 or {r["target"] for r in got if r["source"] == "a"} == {3200.0}
+    for k in (1, 2):
+        assert len({r["taken"] for r in got if r["doc_id"] == k}) == 1
+
+
 def test_sources_beyond_the_broadcast_bound(spark, monkeypatch):
     data = rows(5)
     a = sorted(map(tuple, mixing.mix_sources(docs(spark, data)).select("doc_id", "taken").collect()))
