@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import SPACED, is_held_out, map_texts, table, text_chunks, word_bounds, word_hashes
 
-#: Bounds of the training sample: labelled rows, and code points of one of its documents.
-SAMPLE_ROWS, SAMPLE_CHARS = 4000, 20_000
+#: Bounds of the training sample: labelled rows, and code points of all its texts together.
+SAMPLE_ROWS, SAMPLE_CHARS = 4000, 16_000_000
 #: Predicted good from this score on.
 THRESHOLD = 0.3
 
@@ -144,10 +144,10 @@ class ChainModel:
         score[last] += w[-2]
         return score
 
-    def marginals(self, lines: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def marginals(self, lines: Lines, heft: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """P(good) of every line, summed pair marginals (2 x 2) and the log partition of every document with lines.
 
-        Documents advance together, line by line, in the order of their lengths.
+        ``heft``: weight of each document's pairs in their sum, by default 1.  Documents advance together, line by line, in the order of their lengths.
         """
         n = len(lines.length)
         score = np.zeros((n, 2))
@@ -179,7 +179,7 @@ class ChainModel:
         at = np.flatnonzero(np.diff(row) == 0) + 1 if n else np.zeros(0, np.int64)
         if len(at):
             joint = alpha[at - 1][:, :, None] + self.transition[None] + (score[at] + beta[at])[:, None, :] - z[row[at]][:, None, None]
-            pairs = np.exp(joint).sum(axis=0)
+            pairs = (np.exp(joint) * (1.0 if heft is None else heft[row[at]][:, None, None])).sum(axis=0)
         return good, pairs, z
 
     def _gradient(self, lines: Lines, residual: np.ndarray) -> np.ndarray:
@@ -207,10 +207,28 @@ class ChainModel:
         return 1 / (1 + np.exp(-(self.slope * self.mean_good(lines) + self.offset)))
 
 
+def objective(model: ChainModel, lines: Lines, truth: np.ndarray, heft: np.ndarray) -> tuple[float, np.ndarray]:
+    """Weighted conditional log-likelihood of the documents' lines, and its gradient by all weights and transitions.
+
+    ``truth``: label of each line; ``heft``: weight of each document.
+    """
+    counts = np.diff(lines.first)
+    row = np.repeat(np.arange(len(counts)), counts)
+    good, expected, z = model.marginals(lines, heft)
+    labels = truth.astype(int)
+    at = np.flatnonzero(np.diff(row) == 0) + 1 if len(row) else np.zeros(0, np.int64)
+    observed = np.zeros((2, 2))
+    np.add.at(observed, (labels[at - 1], labels[at]), heft[row[at]])
+    unary = float((truth * heft[row] * model.unary(lines)).sum()) if len(row) else 0.0
+    value = unary + float((observed * model.transition).sum()) - float((heft * z).sum())
+    return value, np.concatenate([model._gradient(lines, (truth - good) * heft[row]), (observed - expected).ravel()])
+
+
 def train(texts: list[str], labels: np.ndarray, steps: int = 120, rate: float = 0.15, decay: float = 1e-3) -> ChainModel:
-    """Fit the chain by Adam on the mean conditional log-likelihood of the lines, then the logistic curve.
+    """Fit the chain by Adam on the penalised conditional log-likelihood of the lines, then the logistic curve.
 
-    Classes weigh alike.  Without labelled texts every score is 1/2.
+    Classes weigh alike, and a document weighs by its class, not by its number of lines.
+    Without labelled texts every score is 1/2.
     """
     model = ChainModel(np.zeros(FEATURES), np.zeros((2, 2)))
     if len(texts) == 0:
@@ -221,21 +239,12 @@ def train(texts: list[str], labels: np.ndarray, steps: int = 120, rate: float =
     truth = np.repeat(labels.astype(float), counts)
     n = len(truth)
     share = labels.mean() if 0 < labels.mean() < 1 else 0.5
-    # a document weighs by its class, not by its number of lines
-    weight = np.repeat(np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) / np.maximum(counts, 1), counts) if n else np.zeros(0)
-    row = np.repeat(np.arange(len(counts)), counts)
-    at = np.flatnonzero(np.diff(row) == 0) + 1 if n else np.zeros(0, np.int64)
+    weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) / np.maximum(counts, 1) / len(texts)
     params = np.zeros(FEATURES + 4)
     first_moment, second_moment = np.zeros_like(params), np.zeros_like(params)
-    observed = np.zeros((2, 2))
-    np.add.at(observed, (truth[at - 1].astype(int), truth[at].astype(int)), 1.0)
     for step in range(1, steps + 1) if n else ():
         model.weight, model.transition = params[:FEATURES], params[FEATURES:].reshape(2, 2)
-        good, pairs, _ = model.marginals(lines)
-        gradient = np.concatenate([
-            model._gradient(lines, (truth - good) * weight) / len(texts),
-            ((observed - pairs) / max(n, 1)).ravel(),
-        ]) - decay * params
+        gradient = objective(model, lines, truth, weight)[1] - decay * params
         first_moment = 0.9 * first_moment + 0.1 * gradient
         second_moment = 0.999 * second_moment + 0.001 * gradient**2
         params = params + rate * (first_moment / (1 - 0.9**step)) / (np.sqrt(second_moment / (1 - 0.999**step)) + 1e-8)
@@ -254,22 +263,29 @@ def train(texts: list[str], labels: np.ndarray, steps: int = 120, rate: float =
     return model
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, rows: int, chars: int) -> tuple[list[str], np.ndarray, list[str]]:
-    """Texts, labels and languages of at most ``rows`` labelled documents of at most ``chars`` code points, held-out ones excluded.
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, rows: int, chars: int) -> tuple[list[str], np.ndarray]:
+    """Texts and labels of labelled documents, held-out ones excluded: at most ``rows`` of them and ``chars`` code points together.
 
-    Half of the rows at most have either label.  The sample is those of the least hashes
-    of doc_id, so it doesn't depend on the order of the table.  Only ids are ranked; the
-    texts of the chosen rows alone travel.
+    Half of both at most for either label.  Documents are taken whole, of any length, in
+    the order of hashes of doc_id (so the sample doesn't depend on the order of the
+    table), as long as they fit; one that doesn't is passed over.  Only ids and lengths
+    of the candidates reach the driver before that; then the texts of the chosen alone.
     """
     known = labels.filter(F.col(column).isin(0, 1) & ~is_held_out()).groupBy("doc_id").agg(F.max(column).alias("label"))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text is not null")
     least = lambda k: known.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows // 2)
     ids = least(0).unionByName(least(1))
-    lang = F.col("lang") if "lang" in docs.columns else F.lit("")
-    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text"), lang.alias("lang")).join(F.broadcast(ids), "doc_id")
-    chosen = chosen.filter(F.col("text").isNotNull() & (F.length("text") <= chars))
-    got = chosen.select("doc_id", "text", "lang", "label").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    labels_out = np.array(got.column("label").to_pylist(), dtype=float)
-    return got.column("text").to_pylist(), labels_out, [x or "" for x in got.column("lang").to_pylist()]
+    sizes = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.sum(F.length("text")).alias("size"), F.xxhash64("doc_id").alias("order"))
+    left, chosen = {0: chars // 2, 1: chars // 2}, []
+    for r in sorted(sizes.collect(), key=lambda r: (r["order"], r["doc_id"])):
+        if r["size"] <= left[r["label"]]:
+            left[r["label"]] -= r["size"]
+            chosen.append((r["doc_id"], r["label"]))
+    if not chosen:
+        return [], np.zeros(0)
+    wanted = docs.sparkSession.createDataFrame(chosen, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label int")
+    got = texts.join(F.broadcast(wanted), "doc_id").select("doc_id", "text", "label").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    return got.column("text").to_pylist(), np.array(got.column("label").to_pylist(), dtype=float)
 
 
 def score_quality(docs: DataFrame, model: ChainModel, threshold: float = THRESHOLD) -> DataFrame:
@@ -296,8 +312,7 @@ def score_quality(docs: DataFrame, model: ChainModel, threshold: float = THRESHO
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> ChainModel:
     """The chain model of ``labels.quality``, from a bounded sample of rows that aren't held out."""
-    texts, truth, _ = labelled_sample(docs, labels, "quality", rows, chars)
-    return train(texts, truth)
+    return train(*labelled_sample(docs, labels, "quality", rows, chars))
 
 
 def op2_quality_classifier(spark, sf_dir: str) -> DataFrame:

@@ -7,9 +7,12 @@ feeds one linear unit.  A filter of width w is a sum of w products of an embeddi
 filter, so for scoring the products are tabled once per bucket and a word costs a few
 look-ups.
 
-Thresholds are calibrated per language on the training documents.  The language of a
-text is judged from its letters and function words alone, and a text's logit is
-shifted by its language's threshold, so that 0.5 divides the classes in every language.
+Thresholds are calibrated per language on training documents that the fit hasn't seen.
+The language of a text is judged from its function words alone; texts of none of the
+languages, or without such words, are a group of their own with a threshold of its own.
+A text's logit is shifted by its group's threshold, so that 0.5 divides the classes in
+every group; a group that the sample doesn't hold in both classes gets the threshold of
+all texts together.
 """
 
 from __future__ import annotations
@@ -25,8 +28,8 @@ from .common import ALNUM, is_held_out, map_texts, mix, table, text_chunks, word
 from .decontamination import item_words
 from .quality import labelled_sample
 
-#: Bounds of the training sample: labelled rows, and code points of one of its documents.
-SAMPLE_ROWS, SAMPLE_CHARS = 8000, 10_000
+#: Bounds of the training sample: labelled rows, and code points of all its texts together.
+SAMPLE_ROWS, SAMPLE_CHARS = 8000, 16_000_000
 BUCKETS, WIDTH_OF_WORD, FILTERS, WIDTHS = 1 << 16, 8, 8, (1, 2, 3)
 #: Bytes of the beginnings of a word that have hashes of their own.
 BEGINNINGS = (4, 5, 6, 7, 8, 9, 10)
@@ -41,7 +44,9 @@ FUNCTION_WORDS = {
     "es": "de la que el en y los del se las por un para con no una su al lo como más pero sus le ya este porque esta",
     "fr": "de la le et les des en un du une que est pour qui dans par sur pas au plus ne se ce avec il sont ou son mais",
 }
-LANGUAGES = tuple(FUNCTION_WORDS)
+LANGUAGES = (*FUNCTION_WORDS, "other")
+#: Share of a text's words that must be function words of its language.
+LEAST_SHARE = 0.04
 
 
 def _language_table() -> tuple[np.ndarray, np.ndarray]:
@@ -51,7 +56,7 @@ def _language_table() -> tuple[np.ndarray, np.ndarray]:
         for h in item_words(words).tolist():
             owners.setdefault(h, set()).add(k)
     hashes = np.array(sorted(owners), np.uint64)
-    weights = np.zeros((len(hashes), len(LANGUAGES)))
+    weights = np.zeros((len(hashes), len(FUNCTION_WORDS)))
     for row, h in enumerate(hashes.tolist()):
         for k in owners[h]:
             weights[row, k] = 1 / len(owners[h])
@@ -59,15 +64,16 @@ def _language_table() -> tuple[np.ndarray, np.ndarray]:
 
 
 def languages(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """A language number for each text; texts without function words (or a tie) get the earliest of the best."""
+    """A place in LANGUAGES for each text: that of most votes (the earliest of a tie), the last if these are few."""
     table_hashes, weights = _language_table()
     at = np.searchsorted(table_hashes, hashes)
     at[at == len(table_hashes)] = 0
     known = np.flatnonzero(table_hashes[at] == hashes) if len(hashes) else np.zeros(0, np.int64)
     n = len(first) - 1
     row = np.searchsorted(first, known, "right") - 1
-    votes = np.column_stack([np.bincount(row, weights=weights[at[known], k], minlength=n) for k in range(len(LANGUAGES))])
-    return votes.argmax(axis=1)
+    votes = np.column_stack([np.bincount(row, weights=weights[at[known], k], minlength=n) for k in range(weights.shape[1])])
+    few = votes.max(axis=1, initial=0.0) <= LEAST_SHARE * np.diff(first)
+    return np.where(few, len(LANGUAGES) - 1, votes.argmax(axis=1))
 
 
 @dataclass
@@ -238,26 +244,29 @@ def _step(model: TextCnn, docs: list[np.ndarray], labels: np.ndarray, heft: np.n
         model.embedding[index] -= 0.1 * gradient / (np.sqrt(seen[index])[:, None] + 1e-8)
 
 
-def _calibrate(model: TextCnn, logits: np.ndarray, own: np.ndarray, labels: np.ndarray) -> None:
-    """Each language's shift: the logit that divides its texts at the least cost, where both labels occur.
+def _threshold(logits: np.ndarray, labels: np.ndarray) -> float | None:
+    """The logit that divides the texts at the least cost, if both labels occur.
 
     A false alarm costs FALSE_ALARM times what a miss of the same share of its class does.
     """
+    if not 0 < labels.sum() < len(labels):
+        return None
+    order = np.argsort(logits)
+    x, y = logits[order], labels[order]
+    # cost if the threshold lies below x[i]: toxic texts under it and others from it on
+    missed = np.concatenate([[0], np.cumsum(y)]) / y.sum()
+    false = np.concatenate([[0], np.cumsum(1 - y)])
+    cost = missed + FALSE_ALARM * (false[-1] - false) / (len(y) - y.sum())
+    best = np.flatnonzero(cost == cost.min())
+    return float(x[max(best[0] - 1, 0)] + x[min(best[-1], len(x) - 1)]) / 2
+
+
+def _calibrate(model: TextCnn, logits: np.ndarray, own: np.ndarray, labels: np.ndarray) -> None:
+    """Each language's shift is its threshold; where it has none, that of all texts."""
+    every = _threshold(logits, labels)
     for k in range(len(LANGUAGES)):
-        chosen = own == k
-        x, y = logits[chosen], labels[chosen]
-        if not 0 < y.sum() < len(y):
-            continue
-        order = np.argsort(x)
-        x, y = x[order], y[order]
-        # cost if the threshold lies below x[i]: toxic texts under it and others from it on
-        missed = np.concatenate([[0], np.cumsum(y)]) / y.sum()
-        false = np.concatenate([[0], np.cumsum(1 - y)])
-        cost = missed + FALSE_ALARM * (false[-1] - false) / (len(y) - y.sum())
-        best = np.flatnonzero(cost == cost.min())
-        low = x[max(best[0] - 1, 0)]
-        high = x[min(best[-1], len(x) - 1)]
-        model.shift[k] = (low + high) / 2
+        threshold = _threshold(logits[own == k], labels[own == k])
+        model.shift[k] = next((t for t in (threshold, every) if t is not None), 0.0)
 
 
 def score_toxicity(docs: DataFrame, model: TextCnn, threshold: float = THRESHOLD) -> DataFrame:
@@ -291,8 +300,7 @@ def score_toxicity(docs: DataFrame, model: TextCnn, threshold: float = THRESHOLD
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> TextCnn:
     """The classifier of ``labels.toxic``, from a bounded sample of rows that aren't held out."""
-    texts, truth, _ = labelled_sample(docs, labels, "toxic", rows, chars)
-    return train(texts, truth)
+    return train(*labelled_sample(docs, labels, "toxic", rows, chars))
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:

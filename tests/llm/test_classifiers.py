@@ -4,12 +4,13 @@ import zlib
 
 import numpy as np
 import pytest
-from lumivox.llm import quality, toxicity
+from lumivox.llm import quality, registry, toxicity
 from lumivox.llm.common import is_held_out
 from pyspark.sql import functions as F
 
 from .helpers import docs
 
+DATA = "/root/testdata/sf0.001"
 WORDS = ["alpha", "beta", "gamma", "delta", "stone", "river", "light", "over", "under", "again"]
 
 
@@ -61,22 +62,23 @@ def test_forward_backward_against_enumeration():
 
 
 def test_gradient_against_differences():
+    """Every weight that occurs and every transition, with documents of unlike weights."""
     rng = np.random.default_rng(1)
-    lines = lines_of(["first\nSECOND!!\nthird", "x y z\nx x x x"])
-    truth = np.array([1.0, 0, 1, 0, 1])
-    model = quality.ChainModel(rng.normal(size=quality.FEATURES) * 0.1, np.zeros((2, 2)))
+    lines = lines_of(["first\nSECOND!!\nthird", "x y z\nx x x x", "", "alone"])
+    truth, heft = np.array([1.0, 0, 1, 0, 1, 0]), np.array([0.3, 2.0, 1.0, 0.7])
+    model = quality.ChainModel(rng.normal(size=quality.FEATURES) * 0.1, rng.normal(size=(2, 2)))
+    _, gradient = quality.objective(model, lines, truth, heft)
+    params = np.concatenate([model.weight, model.transition.ravel()])
 
-    def loglik():
-        return (truth * model.unary(lines)).sum() - model.marginals(lines)[2].sum()
+    def value(at, by):
+        moved = params.copy()
+        moved[at] += by
+        return quality.objective(quality.ChainModel(moved[:-4], moved[-4:].reshape(2, 2)), lines, truth, heft)[0]
 
-    gradient = model._gradient(lines, truth - model.marginals(lines)[0])
-    for k in np.flatnonzero(gradient)[:12]:
-        model.weight[k] += 1e-5
-        up = loglik()
-        model.weight[k] -= 2e-5
-        down = loglik()
-        model.weight[k] += 1e-5
-        assert np.isclose((up - down) / 2e-5, gradient[k], atol=1e-4)
+    places = [*np.flatnonzero(gradient[:-4]), *range(len(params) - 4, len(params))]
+    assert len(places) > 40
+    for k in places:
+        assert np.isclose((value(k, 1e-5) - value(k, -1e-5)) / 2e-5, gradient[k], atol=1e-6)
 
 
 def test_quality_held_out(spark):
@@ -147,7 +149,51 @@ def test_held_out_rule(spark):
 
 
 def test_sample_is_bounded_and_leaves_held_out_rows(spark):
-    df = docs(spark, [(k, "t" * (k % 50)) for k in range(300)])
-    labels = spark.range(300).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
-    texts, _, _ = quality.labelled_sample(df, labels, "quality", 100, 30)
-    assert 0 < len(texts) <= 100 and max(map(len, texts)) <= 30
+    df = docs(spark, [(k, "t" * (k % 50)) for k in range(300)] + [(400, None)])
+    labels = spark.range(500).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    held = sum(zlib.crc32(str(k).encode()) % 5 == 0 for k in range(300))
+    texts, truth = quality.labelled_sample(df, labels, "quality", 10_000, 10**6)
+    assert len(texts) == 300 - held and truth.all()
+    assert len(quality.labelled_sample(df, labels, "quality", 100, 10**6)[0]) <= 50
+    texts, _ = quality.labelled_sample(df, labels, "quality", 10_000, 600)
+    assert 250 < sum(map(len, texts)) <= 300
+
+
+def test_long_documents_take_part_in_learning(spark):
+    df = docs(spark, [(k, "word " * (20_000 if k % 2 else 5)) for k in range(20)])
+    labels = spark.range(20).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    texts, truth = quality.labelled_sample(df, labels, "toxic", 100, 10**7)
+    assert max(map(len, texts)) == 100_000 and 0 < truth.sum() < len(truth)
+
+
+def test_texts_of_no_known_language_have_a_threshold_of_their_own():
+    function = ["the of and to", "der die und nicht", "qux zup vim"]
+    rng = random.Random(8)
+    texts, labels = [], []
+    for k in range(1500):
+        words = [rng.choice([*WORDS, *(function[k % 3].split() * 3)]) for _ in range(rng.randrange(8, 40))]
+        if k % 5 == 0:
+            words[0] = ["grubbo", "mistbolz", "vortax"][k % 3]
+        texts.append(" ".join(words))
+        labels.append(float(k % 5 == 0))
+    hashes, first = toxicity._hashed(texts)[1:]
+    own = toxicity.languages(hashes, first)
+    assert [toxicity.LANGUAGES[own[k]] for k in range(3)] == ["en", "de", "other"] and len(set(own)) == 3
+    model = toxicity.train(texts, np.array(labels))
+    buckets, hashes, first = toxicity._hashed(texts)
+    logits = model.logits(buckets, first, model.tables()) - model.shift[own]
+    for k in set(own):
+        assert ((logits[own == k] >= 0) == (np.array(labels)[own == k] == 1)).mean() > 0.97
+
+
+@pytest.mark.parametrize(("query", "column", "threshold", "right"), [("op2_quality_classifier", "quality", 0.3, 0.9), ("op4_toxicity", "toxic", 0.5, 0.8)])
+def test_registered_queries(spark, query, column, threshold, right):
+    got = registry.QUERIES[query](spark, DATA)
+    assert dict(got.dtypes) == {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"}
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert len(rows) == spark.read.parquet(f"{DATA}/documents.parquet").count()
+    for d, r in rows.items():
+        assert r["held_out"] == (zlib.crc32(str(d).encode()) % 5 == 0) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= threshold)
+    truth = {r["doc_id"]: r[column] for r in spark.read.parquet(f"{DATA}/labels.parquet").collect()}
+    known = [rows[d]["predicted"] == y for d, y in truth.items() if d in rows]
+    assert np.mean(known) >= right
