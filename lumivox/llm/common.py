@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -33,18 +34,47 @@ def arrow_rows(schema: pa.Schema, columns: list) -> pa.RecordBatch:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
+    """The folder of ``spark.checkpoint.dir``; a temporary one only where that is unset and all runs on one machine, as in tests."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = context.getConf().get("spark.checkpoint.dir", None)
+        if not configured and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="lumivox-checkpoint-"))
     return context.getCheckpointDir()
 
 
+#: Folders of checkpoints made inside ``checkpoints_removed``, innermost last.
+_scopes: list[list[str]] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage into the shared checkpoint folder."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if _scopes:
+        file = out._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if file.isDefined():
+            _scopes[-1].append(file.get())
+    return out
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder wherever Spark's file systems reach; one that is gone already is fine."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def checkpoints_removed(spark: SparkSession) -> Iterator[None]:
+    """Deletes the checkpoints that the block makes when it ends; what it computes must be written by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for folder in _scopes.pop():
+            remove(spark, folder)
 
 
 def map_texts(df: DataFrame, run: Callable, schema: str) -> DataFrame:

@@ -288,26 +288,28 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, rows: int,
     return got.column("text").to_pylist(), np.array(got.column("label").to_pylist(), dtype=float)
 
 
-def score_quality(docs: DataFrame, model: ChainModel, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from the threshold on); columns of these names are replaced.
+def score_quality(
+    docs: DataFrame, model: ChainModel, threshold: float = THRESHOLD, score: str = "score", predicted: str = "predicted"
+) -> DataFrame:
+    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from the threshold on); columns of the names given are replaced.
 
     Every row is scored on its whole text alone.  A text without lines (null, empty,
     only line feeds) scores as one surely bad line.  An empty table gives no rows.
     """
-    fields = [f for f in docs.schema.fields if f.name not in ("score", "predicted")]
+    fields = [f for f in docs.schema.fields if f.name not in (score, predicted)]
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = [model.score(line_statistics(d, o)) for _, _, d, o in text_chunks(batch.column("text").cast(pa.string()))]
-            score = np.concatenate(scores) if scores else np.zeros(0)
+            found = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), pa.array(score), pa.array((score >= threshold).astype(np.int32))],
-                names=[*names, "score", "predicted"],
+                [*(batch.column(n) for n in names), pa.array(found), pa.array((found >= threshold).astype(np.int32))],
+                names=[*names, score, predicted],
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return map_texts(docs.select(*names), run, f"{schema}, score double, predicted int")
+    return map_texts(docs.select(*names), run, f"{schema}, `{score}` double, `{predicted}` int")
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> ChainModel:
