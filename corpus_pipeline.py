@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes what a
 stage returns as Parquet into the shared checkpoint folder and reads it back as the
-next stage's docs.  All but the last return the columns of ``documents``.
+next stage's docs; then what the stages before have left there is removed.  All but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -10,14 +10,23 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lumivox.llm import common, decontamination, mixing, ngram_join, quality, secrets
 
+#: Weight of the documents of the least quality in the mix, against 1 for the best.
+LEAST_WEIGHT = 0.01
 
-def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line model accepts; it learns from labelled rows that aren't held out."""
+
+def _scored(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` with the line model's ``__score`` and ``__good``; it learns from labelled rows that aren't held out."""
     model = quality.fit(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
-    return quality.score_quality(docs, model).filter("predicted = 1").select(*docs.columns)
+    return quality.score_quality(docs, model, score="__score", predicted="__good")
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line model accepts."""
+    return _scored(spark, docs, sf_dir).filter("__good = 1").select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +35,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark text: contaminated ones go, lesser hits are cut out."""
+    """Documents without benchmark windows: contaminated ones go, lesser hits are cut out."""
     return decontamination.decontaminate(docs, common.table(spark, sf_dir, "benchmark"))
 
 
@@ -36,8 +45,14 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with how many of their words it takes (repeats counted)."""
-    return mixing.mix_sources(docs).filter("taken > 0")
+    """The documents that the mix takes, with how many of their words it takes (repeats counted).
+
+    A document's weight is its quality score; the text of a document may have changed
+    since the quality stage, so it is scored as it is now.
+    """
+    scored = _scored(spark, docs, sf_dir)
+    weight = F.greatest(F.round("__score", 6), F.lit(LEAST_WEIGHT))
+    return mixing.mix_sources(scored, weight=weight).drop("__score", "__good").filter("taken > 0")
 
 
 STAGES = [
@@ -53,10 +68,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents of ``sf_dir`` through all stages."""
+    """The documents of ``sf_dir`` through all stages; what a stage leaves in the shared folder goes when the next is written."""
     docs = common.table(spark, sf_dir, "documents")
     folder = f"{common.shared_folder(spark)}/corpus_pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        with common.checkpoints_removed(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            common.remove(spark, f"{folder}/{before}")
+        before = name
     return docs
