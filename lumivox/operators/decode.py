@@ -126,14 +126,19 @@ def tie_break(hits: DataFrame, confidence: DataFrame, key: str = "puncta_id", lo
     return least.select(key).join(chosen.select(key, code.alias("code_id")), key, "left").fillna(-1, ["code_id"])
 
 
-def mismatch_profile(reads: DataFrame, accepted: DataFrame, codebook: DataFrame, key: str = "puncta_id") -> DataFrame:
-    """(round, n): over accepted reads, how often the code differs from the read in each round."""
-    joined = reads.join(accepted.select(key, "code_id"), key).join(codebook.select("code_id", "codes"), "code_id")
+def mismatches(assigned: DataFrame, codebook: DataFrame) -> DataFrame:
+    """(round, n): over reads (bases, code_id), how often the code differs from the read in each round."""
+    joined = assigned.join(codebook.select("code_id", "codes"), "code_id")
     differs = F.zip_with("bases", "codes", lambda a, b: F.when(a.eqNullSafe(b), 0).otherwise(1))
     exploded = joined.select(F.posexplode(differs).alias("pos", "v"))
     return exploded.groupBy((F.col("pos") + 1).alias("round")).agg(F.sum("v").alias("n"))
 
 
+def mismatch_profile(reads: DataFrame, accepted: DataFrame, codebook: DataFrame, key: str = "puncta_id") -> DataFrame:
+    """``mismatches`` of accepted reads, whose codes stand in a table of their own (``key`` names a read in both)."""
+    return mismatches(reads.join(accepted.select(key, "code_id"), key), codebook)
+
+
 def shuffle_columns(reads: DataFrame, rounds: int, seed: int, key: str = "puncta_id", bins: int = 1024) -> DataFrame:
     """Null reads: each round's bases are permuted over the reads independently of the other rounds.
 

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.exprs import euclid
+from ..functions.tables import keep
 
 #: Fixed descriptors of a block; queries meet the blocks one at a time.
 FIXED_BLOCK = 4096
@@ -84,6 +85,28 @@ def nearest_point(points: DataFrame, targets: DataFrame, cell: float, axes: Sequ
     return met.groupBy("p_id").agg(F.min(F.struct("distance", "t_id")).alias("b")).select("p_id", "b.t_id", "b.distance")
 
 
+def nearest_any(points: DataFrame, targets: DataFrame, cell: float, axes: Sequence[str] = ("y", "x", "z")) -> DataFrame:
+    """(p_id, t_id, distance): the nearest target of each point, however far; the smaller id of equals.
+
+    Points are searched in ever coarser grids: what lies within one cell's width is the
+    nearest of all, and only points without such a target go on to cells of twice the
+    width.  The first width should be about the targets' spacing.  No rows without targets.
+    """
+    bounds = [f(F.col(a)).alias(f"{n}_{a}") for a in axes for n, f in (("low", F.min), ("high", F.max))]
+    span = points.select(*axes).unionByName(targets.select(*axes)).agg(*bounds).first()
+    if targets.isEmpty() or points.isEmpty():
+        return nearest_point(points, targets, cell, axes)
+    reach = sum((float(span[f"high_{a}"]) - float(span[f"low_{a}"])) ** 2 for a in axes) ** 0.5
+    open_, found = points.select("id", *axes), None
+    while True:
+        near = keep(nearest_point(open_, targets, cell, axes))
+        found = near if found is None else found.unionByName(near)
+        open_ = keep(open_.join(near.select(F.col("p_id").alias("id")), "id", "left_anti"))
+        if cell > reach or open_.isEmpty():
+            return found
+        cell *= 2
+
+
 def below_mean(matches: DataFrame, distance: str = "d1") -> DataFrame:
     """Matches nearer than the mean distance."""
     mean = matches.agg(F.avg(distance).alias("_mean"))

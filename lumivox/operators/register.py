@@ -54,8 +54,10 @@ def ransac(
 ) -> tuple[np.ndarray, np.ndarray]:
     """The transform with most inliers over random samples, refitted on them, and the inliers' mask.
 
-    An inlier lies within ``reach`` in units of ``voxel``.  Trials end once a sample of
-    inliers has been drawn with the given confidence, after ``least`` at least.
+    An inlier lies within ``reach`` in units of ``voxel``.  Trials end once four inliers
+    have been drawn together with the given confidence, after ``least`` at least; each
+    better transform starts their count anew, so that no more than ``most`` follow the
+    last one.
     """
     rng = np.random.default_rng(seed)
     n, best = len(moving), np.zeros(len(moving), bool)
@@ -71,7 +73,8 @@ def ransac(
         if inside.sum() > best.sum():
             best = inside
             share = min(inside.mean(), 1 - 1e-9)
-            needed = int(np.ceil(np.log(1 - confidence) / np.log(1 - share**sample))) if share > 0 else most
+            needed = int(np.ceil(np.log(1 - confidence) / np.log(1 - share**4))) if share > 0 else most
+            trial = 0
         trial += 1
     return (_solve(moving[best], fixed[best], full) if best.sum() >= 4 else np.array(IDENTITY).reshape(3, 4)), best
 

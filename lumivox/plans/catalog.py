@@ -240,9 +240,7 @@ def decode_gene_counts(spark, d):
 FROM (SELECT bases, c.codes, unnest(range(1, {ROUNDS} + 1)) AS r FROM all_reads JOIN accepted a USING (bases) JOIN codes c ON c.code_id = a.code_id) GROUP BY r"""
 )
 def mismatch_profile(spark, d):
-    hits = _decoded(spark, d)
-    row = hits.withColumn("row", F.monotonically_increasing_id())
-    return decode.mismatch_profile(row.select("row", "bases"), row.select("row", "code_id"), frame(spark, d, "codebook"), "row")
+    return decode.mismatches(_decoded(spark, d).select("bases", "code_id"), frame(spark, d, "codebook"))
 
 
 def _null_reads(spark, d):
@@ -632,12 +630,12 @@ def compare_volumes(spark, d):
 
 
 @query(
-    f"""WITH m AS (SELECT * FROM (SELECT round, y, x, z, max(value) AS value FROM {VOXELS} WHERE channel = 'A' GROUP BY ALL UNION ALL SELECT round, y, x, z, max(value) FROM {VOXELS} WHERE channel = 'N' GROUP BY ALL))
+    f"""WITH m AS (SELECT * FROM (SELECT round, y, x, z, max(value) AS value FROM {VOXELS} WHERE channel = 'A' GROUP BY ALL UNION ALL SELECT round, y, x, z, max(value) FROM {VOXELS} WHERE channel = 'N' GROUP BY ALL UNION ALL SELECT round, y, x, z, max(value) FROM {VOXELS} WHERE channel = 'R' GROUP BY ALL))
 SELECT y, x, z, max(value) AS value FROM m GROUP BY ALL"""
 )
 def max_combine(spark, d):
     v = frame(spark, d, "voxels")
-    return volume.max_combine(v.filter("channel = 'A'"), v.filter("channel = 'N'"))
+    return volume.max_combine(*(v.filter(F.col("channel") == c) for c in "ANR"))
 
 
 @query(
@@ -1024,10 +1022,16 @@ def hourly_counts(spark, d):
     return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
-@query("SELECT DISTINCT s_name, CAST(regexp_extract(s_name, '(\\d+)', 1) AS BIGINT) AS number FROM supplier")
+@query(
+    r"""SELECT s_name, row_number() OVER (ORDER BY list_aggregate(list_transform(regexp_extract_all(s_name, '\d+|\D+'),
+  lambda p: CASE WHEN regexp_matches(p, '^\d') THEN lpad(p, 20, '0') ELSE p END), 'string_agg', '')) AS place
+FROM (SELECT DISTINCT s_name FROM supplier)"""
+)
 def natural_sort(spark, d):
-    s = frame(spark, d, "supplier").select("s_name").distinct()
-    return s.orderBy(*readers.natural_order("s_name")).select("s_name", readers.natural_order("s_name")[1].alias("number"))
+    from pyspark.sql import Window as W
+
+    names = frame(spark, d, "supplier").select("s_name").distinct()
+    return names.select("s_name", F.row_number().over(W.orderBy(readers.natural_order("s_name"))).cast("long").alias("place"))
 
 
 @query()

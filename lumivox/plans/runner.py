@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .params import Params
 
@@ -68,3 +70,30 @@ class Pipeline:
             tables |= {o: df for o, df in there.items() if df is not None}
             report.rows.append((name, status, time.time() - began, rows))
         return report
+
+
+def replace_round(table: DataFrame, redone: DataFrame, number: int, column: str = "round") -> DataFrame:
+    """``table`` with one round's rows taken from ``redone``."""
+    return table.filter(~F.col(column).eqNullSafe(F.lit(number))).unionByName(redone.filter(F.col(column) == number).select(*table.columns))
+
+
+def rewrite_round(redone: DataFrame, path: str, column: str = "round") -> None:
+    """Overwrite in a stored table, partitioned by round, the rounds that ``redone`` holds and no others."""
+    redone.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+
+def pass_through(files: DataFrame, source: str, target: str, chosen: Column) -> DataFrame:
+    """``files`` (stage, path, ...) with the chosen ones of stage ``source`` standing for themselves in ``target``, too."""
+    linked = files.filter((F.col("stage") == source) & chosen).withColumn("stage", F.lit(target))
+    return files.unionByName(linked)
+
+
+def sweep(grid: dict[str, Sequence], run: Callable[..., DataFrame]) -> DataFrame:
+    """The results of ``run`` for every combination of parameters, which stand before them as columns."""
+    out = None
+    for values in itertools.product(*grid.values()):
+        named = dict(zip(grid, values))
+        part = run(**named)
+        part = part.select(*(F.lit(v).alias(n) for n, v in named.items()), *part.columns)
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -147,10 +147,20 @@ def read_assignments(text: str) -> dict[str, str]:
     return {m[1]: m[2].strip() for m in found}
 
 
-def natural_order(name: Column | str) -> tuple[Column, Column]:
-    """Sort keys by the text before the first number, then by that number."""
+def natural_order(name: Column | str) -> Column:
+    """A sort key in which every number of a name counts by its value."""
     c = F.col(name) if isinstance(name, str) else name
-    return F.regexp_extract(c, r"^(\D*)", 1), F.regexp_extract(c, r"(\d+)", 1).cast("long")
+    parts = F.regexp_extract_all(c, F.lit(r"\d+|\D+"), F.lit(0))
+    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), F.lpad(p, 20, "0")).otherwise(p)), "")
+
+
+def table_sizes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """(name, rows) of stored tables; counts come from the files' footers, no column is read."""
+    out = None
+    for name, path in paths.items():
+        part = spark.read.parquet(path).agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def json_columns(df: DataFrame, column: str, schema: str) -> DataFrame:
