@@ -18,10 +18,9 @@ when their Jaccard similarity is 0.8 or more.  Documents of equal sets are one n
 3. Clusters of more than one block are dealt to blocks of bounded size, each joined on
    its own; then blocks of the blocks' central sets are joined, level by level.  A large
    family of near copies is one component after that.  What it leaves is exact, too: a
-   shared shingle whose holders are all of one component can't add anything, so only
-   the sets that other shared shingles still tie together are clustered again, and of
-   those each set outside the cluster's largest component meets all others, as pairs of
-   blocks.
+   shared shingle whose holders are all of one component can't add anything.  For every
+   other one the holders meet, each that is outside their largest component with all
+   others, in groups cut into pairs of blocks where they are beyond a block.
 4. The links that join two components inside a task (a spanning forest, never all
    pairs) are merged by connected components.
 
@@ -48,6 +47,8 @@ BUCKET = 400_000
 #: Shingles of a block of a cluster; where sets are long, a block still holds BLOCK_SETS of them, or what
 #: LARGE_BLOCK shingles allow.
 BLOCK, BLOCK_SETS, LARGE_BLOCK = 20_000, 64, 2_000_000
+#: Shingles of a block where the exact rest is compared: its groups are copied once for each other block.
+REST_BLOCK = 200_000
 #: Components of a block that send central sets to the next level, sets that each sends, and levels.
 CENTRAL, CENTRAL_SETS, LEVELS = 4, 2, 6
 #: Up to this many candidate documents (a few dozen bytes each) their ids are broadcast; beyond, they join by shuffle.
@@ -398,15 +399,15 @@ def _join_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, cluster, n, tokens) of the rows whose text has the wanted set; another row may have the same doc_id."""
+    """(node, cluster, blocks, n, tokens) of the rows whose text has the wanted set; another row may have the same doc_id."""
     for batch in batches:
         sets = list(_text_sets(batch.column("text")))
         wanted = batch.column("node").to_pylist()
         keep = [k for k, tokens in enumerate(sets) if len(tokens) and node_of(tokens) == wanted[k]]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("node").take(pa.array(keep, pa.int64())), batch.column("cluster").take(pa.array(keep, pa.int64())),
+            [*(batch.column(c).take(pa.array(keep, pa.int64())) for c in ("node", "cluster", "blocks")),
              pa.array([len(sets[k]) for k in keep], pa.int64()), pa.array([sets[k].tobytes() for k in keep], pa.binary())],
-            names=["node", "cluster", "n", "tokens"],
+            names=["node", "cluster", "blocks", "n", "tokens"],
         )
 
 
@@ -433,27 +434,35 @@ def candidate_edges(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return materialize(shared)
 
 
+def few(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if its counted rows allow that."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def cluster_sets(docs: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, cluster, n, tokens) of the sets in clusters of two or more that ``edges`` tie together."""
+    """(node, cluster, blocks, n, tokens) of the sets in clusters of two or more that ``edges`` tie together.
+
+    ``blocks``: the number of blocks of the set's cluster.
+    """
     survivors = edges.select(F.col("a").alias("node")).distinct()
     found = nodes.join(survivors, "node").join(components(edges).withColumnRenamed("component", "cluster"), "node")
     found = materialize(found)
-    several = found.groupBy("cluster").count().filter("count > 1").select("cluster")
-    wanted = materialize(found.join(several, "cluster", "left_semi").select("doc_id", "node", "cluster"))
-    few = wanted.count() <= BROADCAST_ROWS
-    near = F.broadcast if few else lambda df: df
-    texts = docs.select("doc_id", "text").join(near(wanted), "doc_id").select("node", "cluster", "text")
+    sizes = found.groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("size")).filter("m > 1")
+    sizes = materialize(sizes.select("cluster", _blocks(F.col("size"), F.col("m")).alias("blocks")))
+    wanted = materialize(found.join(few(sizes), "cluster").select("doc_id", "node", "cluster", "blocks"))
+    columns = ("node", "cluster", "blocks", "text")
+    texts = docs.select("doc_id", "text").join(few(wanted), "doc_id").select(*columns)
     nameless = wanted.filter(F.col("doc_id").isNull()).drop("doc_id")
     if not nameless.isEmpty():  # sets of rows without an id are found by their fingerprints
         own_texts = map_texts(docs.filter(F.col("doc_id").isNull()).select("text"), _with_nodes, "text string, node long")
-        texts = texts.unionByName(own_texts.join(near(nameless), "node").select("node", "cluster", "text").dropDuplicates(["node"]))
-    return materialize(map_texts(texts, _tokens_of, "node long, cluster long, n long, tokens binary"))
+        texts = texts.unionByName(own_texts.join(few(nameless), "node").select(*columns).dropDuplicates(["node"]))
+    return materialize(map_texts(texts, _tokens_of, "node long, cluster long, blocks int, n long, tokens binary"))
 
 
-def _blocks(size, sets):
-    """Number of blocks for ``sets`` sets of ``size`` shingles together."""
+def _blocks(size, sets, block: int | None = None):
+    """Number of blocks of ``block`` shingles (by default BLOCK) for ``sets`` sets of ``size`` shingles together."""
     mean = size / sets
-    each = F.greatest(F.lit(BLOCK) / mean, F.least(F.lit(BLOCK_SETS), F.greatest(F.lit(2), F.lit(LARGE_BLOCK) / mean)))
+    each = F.greatest(F.lit(block or BLOCK) / mean, F.least(F.lit(BLOCK_SETS), F.greatest(F.lit(2), F.lit(LARGE_BLOCK) / mean)))
     return F.greatest(F.lit(1), F.ceil(sets / each)).cast("int")
 
 
@@ -468,13 +477,13 @@ def _joined(groups: DataFrame) -> DataFrame:
 
 
 def _block_links(sets: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
-    """(links inside blocks, central sets of the blocks of clusters of several blocks)."""
-    sizes = sets.groupBy("cluster").agg(_blocks(F.sum("n"), F.count("*")).alias("blocks"))
-    dealt = sets.join(sizes, "cluster").withColumn("i", _deal("node", F.col("blocks"), level))
+    """(links inside blocks, central sets of the blocks of clusters of several blocks, with their own number of blocks)."""
+    dealt = sets.withColumn("i", _deal("node", F.col("blocks"), level))
     found = _joined(dealt.select("cluster", "i", F.lit(0).alias("j"), "node", F.col("node").alias("comp"), F.lit(True).alias("walks"), "tokens"))
-    central = found.filter("central").select(F.col("a").alias("node")).distinct()
-    several = sizes.filter("blocks > 1").select("cluster")
-    return found.filter("not central").select("a", "b"), sets.join(several, "cluster", "left_semi").join(central, "node", "left_semi")
+    central = few(found.filter("central").select(F.col("a").alias("node")).distinct())
+    chosen = materialize(sets.filter("blocks > 1").join(central, "node", "left_semi").drop("blocks"))
+    sizes = chosen.groupBy("cluster").agg(_blocks(F.sum("n"), F.count("*")).alias("blocks"))
+    return found.filter("not central").select("a", "b"), chosen.join(few(materialize(sizes)), "cluster")
 
 
 def _rest_links(sets: DataFrame, edges: DataFrame, links: DataFrame) -> DataFrame | None:
@@ -495,9 +504,9 @@ def _rest_links(sets: DataFrame, edges: DataFrame, links: DataFrame) -> DataFram
     rest = materialize(own.join(open_, "b", "left_semi").select("a", "b"))
     if rest.isEmpty():
         return None
-    holders = rest.select(F.col("a").alias("node")).distinct()
-    again = components(rest).withColumnRenamed("component", "cluster")
-    slim = holders.join(again, "node").join(labelled, "node").join(sets.select("node", "n"), "node")
+    # sets that link share a centre: its holders are a group, whose sizes add up to the edges
+    slim = rest.select(F.col("a").alias("node"), F.col("b").alias("cluster")).join(labelled, "node").join(sets.select("node", "n"), "node")
+    slim = materialize(slim)
     parts = slim.groupBy("cluster", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("size"))
     largest = parts.groupBy("cluster").agg(F.max(F.struct("size", "comp")).alias("x")).select("cluster", F.col("x.comp").alias("main"))
     sized = parts.join(largest, "cluster").withColumn("inside", F.col("comp") == F.col("main"))
@@ -506,7 +515,7 @@ def _rest_links(sets: DataFrame, edges: DataFrame, links: DataFrame) -> DataFram
         sized.groupBy("cluster", "main")
         .agg(total(True, "m").alias("m0"), total(True, "size").alias("s0"), total(False, "m").alias("m1"), total(False, "size").alias("s1"))
         .filter("m1 > 0")
-        .select("cluster", "main", _blocks(F.col("s0"), F.col("m0")).alias("p"), _blocks(F.col("s1"), F.col("m1")).alias("q"))
+        .select("cluster", "main", _blocks(F.col("s0"), F.col("m0"), REST_BLOCK).alias("p"), _blocks(F.col("s1"), F.col("m1"), REST_BLOCK).alias("q"))
     )
     # blocks 0 to q - 1 hold the sets outside the largest component, -1 to -p those of it; a group is two blocks
     inside = F.col("comp") == F.col("main")
@@ -522,7 +531,7 @@ def _rest_links(sets: DataFrame, edges: DataFrame, links: DataFrame) -> DataFram
         "node", "cluster", "comp", (F.col("own") >= 0).alias("walks"),
         F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
     )
-    groups = sets.select("node", "tokens").join(met, "node")
+    groups = sets.select("node", "tokens").join(few(met), "node")
     return _joined(groups.select("cluster", "i", "j", "node", "comp", "walks", "tokens")).filter("not central").select("a", "b")
 
 
@@ -534,16 +543,15 @@ def similarity_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     edges = candidate_edges(docs, nodes)
     sets = cluster_sets(docs, nodes, edges)
     links, central = _block_links(sets, 0)
-    sizes = sets.groupBy("cluster").agg(_blocks(F.sum("n"), F.count("*")).alias("blocks"))
-    large = materialize(sizes.filter("blocks > 1").select("cluster"))
+    large = sets.filter("blocks > 1")
     if large.isEmpty():
         return links
     for level in range(1, LEVELS):
-        more, central = _block_links(materialize(central), level)
-        links = links.unionByName(more)
         if central.isEmpty():
             break
-    rest = _rest_links(sets.join(large, "cluster", "left_semi"), edges, links)
+        more, central = _block_links(central, level)
+        links = links.unionByName(more)
+    rest = _rest_links(large, edges, links)
     return links if rest is None else links.unionByName(rest)
 
 
@@ -567,8 +575,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     or text length changes what links.
     """
     rows, labelled = _rows_and_members(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    names = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = labelled.join(names, "component").select("node", "component_id")
+    # components of one set need no name but their own; the others' names meet their sets by broadcast, so a large one stays spread
+    names = labelled.groupBy("component").agg(F.count("*").alias("m"), F.min("doc_id").alias("component_id")).filter("m > 1")
+    names = materialize(names.select("component", "component_id"))
+    named = labelled.join(few(names), "component", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
     return rows.join(named, "node", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
@@ -594,15 +604,15 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     rows, labelled = _rows_and_members(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     named = rows.filter("n_shingles > 0").join(labelled.select("node", "component"), "node").select("doc_id", "node", "component").distinct()
     named = materialize(named)
-    keepers = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")).alias("keep"))
-    gone = named.join(keepers, "component").filter(
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node"))
+    keepers = materialize(named.groupBy("component").agg(first.alias("keep"), F.count("*").alias("m")).filter("m > 1").drop("m"))
+    gone = named.join(few(keepers), "component").filter(
         ~(F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("node") == F.col("keep.node")))
     )
     gone = materialize(gone.select("doc_id", "node"))
     # ids of one row are decided by the id; texts are looked at again only for the others
     several = materialize(rows.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
     by_id = gone.filter("doc_id is not null").join(several, "doc_id", "left_anti").select("doc_id")
-    few = lambda df: F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
     own = F.col("doc_id").cast("long")
     single = docs.filter(own.isNotNull())
     match = lambda df, other: df["doc_id"].cast("long") == other["doc_id"]

@@ -68,6 +68,7 @@ def test_against_brute_force(spark, seed):
 def test_blocks_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 300)
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", 2)
+    monkeypatch.setattr(ngram_join, "REST_BLOCK", 500)
     monkeypatch.setattr(ngram_join, "BUCKET", 500)
     monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)
     rows = corpus(3, 90)
@@ -79,6 +80,7 @@ def test_family_of_many_blocks(spark, monkeypatch):
     """A family of near copies, a chain that leads away from it, and outsiders that share its passage."""
     monkeypatch.setattr(ngram_join, "BLOCK", 400)
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", 2)
+    monkeypatch.setattr(ngram_join, "REST_BLOCK", 500)
     rng = random.Random(7)
     base = [f"b{k}" for k in range(60)]
     rows = []
