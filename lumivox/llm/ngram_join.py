@@ -509,7 +509,7 @@ def _rest_links(sets: DataFrame, edges: DataFrame, links: DataFrame) -> DataFram
     slim = materialize(slim)
     parts = slim.groupBy("cluster", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("size"))
     largest = parts.groupBy("cluster").agg(F.max(F.struct("size", "comp")).alias("x")).select("cluster", F.col("x.comp").alias("main"))
-    sized = parts.join(largest, "cluster").withColumn("inside", F.col("comp") == F.col("main"))
+    sized = parts.join(few(materialize(largest)), "cluster").withColumn("inside", F.col("comp") == F.col("main"))
     total = lambda inside, column: F.coalesce(F.sum(F.when(F.col("inside") == inside, F.col(column))), F.lit(0))
     plan = (
         sized.groupBy("cluster", "main")
@@ -520,7 +520,7 @@ def _rest_links(sets: DataFrame, edges: DataFrame, links: DataFrame) -> DataFram
     # blocks 0 to q - 1 hold the sets outside the largest component, -1 to -p those of it; a group is two blocks
     inside = F.col("comp") == F.col("main")
     placed = materialize(
-        slim.join(plan, "cluster")
+        slim.join(few(materialize(plan)), "cluster")
         .withColumn("own", F.when(inside, -1 - _deal("node", F.col("p"))).otherwise(_deal("node", F.col("q"))))
         .select("node", "cluster", "comp", "own", "p", "q")
     )
