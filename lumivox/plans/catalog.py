@@ -668,7 +668,18 @@ def erode_lines(spark, d):
     return p.select("label", "y", "x", F.min("value").over(W.partitionBy("label", "x").orderBy("y").rangeBetween(-1, 1)).alias("low"))
 
 
-@query()
+def _box_oracle(radius: int) -> str:
+    """A grey opening of the summed voxels, axis after axis."""
+    steps, of = [], "v"
+    for i, (f, a) in enumerate((f, a) for f in ("min", "max") for a in volume.AXES):
+        rest = ", ".join(b for b in volume.AXES if b != a)
+        near = f"RANGE BETWEEN {radius} PRECEDING AND {radius} FOLLOWING"
+        steps.append(f"s{i} AS (SELECT y, x, z, {f}(value) OVER (PARTITION BY {rest} ORDER BY {a} {near}) AS value FROM {of})")
+        of = f"s{i}"
+    return f"WITH v AS (SELECT y, x, z, CAST(sum(value) AS BIGINT) AS value FROM {VOXELS} GROUP BY ALL), {', '.join(steps)} SELECT * FROM {of}"
+
+
+@query(_box_oracle(1))
 def open_box(spark, d):
     return volume.morphology(volume.sum_channels(frame(spark, d, "voxels"), volume.AXES), 1)
 
@@ -775,10 +786,28 @@ def apply_affine(spark, d):
     return frame(spark, d, "points").select("id", y.alias("y"), x.alias("x"), z.alias("z"))
 
 
-@query()
+def _affine_oracle() -> str:
+    """Least squares by the inverse of the 3 x 3 covariances (cofactors), the shift by the means."""
+    inverse = {
+        "yy": "xx * zz - xz * xz", "yx": "yz * xz - yx * zz", "yz": "yx * xz - yz * xx",
+        "xx": "yy * zz - yz * yz", "xz": "yx * yz - yy * xz", "zz": "yy * xx - yx * yx",
+    }
+    pairs = ", ".join(f"covar_pop({k[0]}, {k[1]}) AS {k}" for k in inverse)
+    towards = ", ".join(f"covar_pop({a}, f{f}) AS {a}f{f}" for f in "yxz" for a in "yxz")
+    means = ", ".join(f"avg({c}) AS m_{c}" for c in ("y", "x", "z", "fy", "fx", "fz"))
+    cofactors = ", ".join(f"({v}) / (yy * (xx * zz - xz * xz) - yx * (yx * zz - yz * xz) + yz * (yx * xz - yz * xx)) AS i_{k}" for k, v in inverse.items())
+    name = lambda a, b: f"i_{a}{b}" if a + b in inverse else f"i_{b}{a}"
+    slopes = ", ".join(f"{' + '.join(f'{name(a, b)} * {b}f{f}' for b in 'yxz')} AS b_{f}{a}" for f in "yxz" for a in "yxz")
+    row = lambda f: [*(f"b_{f}{a}" for a in "yxz"), f"m_f{f} - {' - '.join(f'b_{f}{a} * m_{a}' for a in 'yxz')}"]
+    return f"""WITH m AS (SELECT y, x, z, 2 * y + 3 AS fy, x * 1.5 - 1 AS fx, z + (label % 3) AS fz FROM {POINTS}),
+s AS (SELECT {pairs}, {towards}, {means} FROM m), i AS (SELECT *, {cofactors} FROM s), b AS (SELECT *, {slopes} FROM i)
+SELECT [{", ".join(f"round({c}, 6) + 0.0::DOUBLE" for f in "yxz" for c in row(f))}] AS matrix FROM b"""
+
+
+@query(_affine_oracle())
 def affine_full(spark, d):
     matrix = register.fit_affine(_matches(spark, d))
-    return spark.createDataFrame([([round(v, 6) for v in matrix],)], "matrix array<double>")
+    return spark.createDataFrame([([round(v, 6) + 0.0 for v in matrix],)], "matrix array<double>")
 
 
 @query()
@@ -794,12 +823,23 @@ def tps_warp(spark, d):
     return rounded(register.warp_voxels_tps(_volume(spark, d), spline, (50, 12, 7)), "value", digits=4)
 
 
-@query()
+@query(
+    f"""WITH v AS (SELECT y, x, z, CAST(sum(value) AS DOUBLE) AS value FROM {VOXELS} GROUP BY ALL),
+t AS (SELECT ty.range AS y, tx.range AS x, tz.range AS z FROM range(1, 51) ty, range(1, 13) tx, range(1, 8) tz),
+o AS (SELECT *, y - 1.5::DOUBLE AS oy, x - 0.25::DOUBLE AS ox FROM t)
+SELECT CAST(o.y AS INTEGER) AS y, CAST(o.x AS INTEGER) AS x, CAST(o.z AS INTEGER) AS z, round(sum(value * (1 - abs(oy - v.y)) * (1 - abs(ox - v.x))), 4) AS value
+FROM o JOIN v ON v.z = o.z AND abs(oy - v.y) < 1 AND abs(ox - v.x) < 1 GROUP BY ALL"""
+)
 def affine_warp(spark, d):
     return rounded(register.warp_voxels_affine(_volume(spark, d), [1, 0, 0, 1.5, 0, 1, 0, 0.25, 0, 0, 1, 0], (50, 12, 7)), "value", digits=4)
 
 
-@query()
+@query(
+    f"""WITH p AS {POINTS}, q AS (SELECT a.id, b.y - a.y AS dy, b.x - a.x AS dx, b.z - a.z AS dz FROM p a, p b),
+r AS (SELECT *, sqrt(dy * dy + dx * dx + dz * dz) AS r FROM q),
+k AS (SELECT id, (r - 3) / 57 AS s_r, (atan2(dy, dx) + pi()) / (2 * pi()) AS s_t, acos(dz / r) / pi() AS s_p FROM r WHERE r > 3 AND r < 60)
+SELECT id, {", ".join(f"CAST(least(floor(s_{k} * 10), 9) AS INTEGER) AS b_{k}" for k in "rtp")}, count(*) AS n FROM k GROUP BY ALL"""
+)
 def shape_contexts(spark, d):
     return match.shape_context(frame(spark, d, "points"), 60.0)
 
