@@ -990,7 +990,9 @@ def export_tsv(spark, d):
     return sinks.tsv_line(c)
 
 
-@query()
+@query(
+    f"""SELECT '<read x="' || x || '" y="' || y || '" z="' || z || '">' || chr(10) || '    <gene>' || name || '</gene>' || chr(10) || '</read>' AS xml FROM {POSITIONS}"""
+)
 def export_xml(spark, d):
     return sinks.read_xml_rows(frame(spark, d, "positions"))
 
@@ -1076,13 +1078,9 @@ def natural_sort(spark, d):
 
 @query()
 def simulated_rounds(spark, d):
-    """A small simulated experiment: blobs, crosstalk, noise."""
-    codes = frame(spark, d, "codebook").filter("code_id < 64").withColumn("code_id", F.row_number().over(_by("code_id")).cast("long") - 1)
-    truth = simulate.assign_codes(simulate.puncta(spark, 20, (40, 40, 12), 5), codes, 5)
-    return rounded(simulate.add_noise(simulate.render(truth, 4, (40, 40, 12), seed=5), 50.0, seed=5), "value", digits=4)
-
-
-def _by(column):
-    from pyspark.sql import Window as W
-
-    return W.orderBy(column)
+    """A simulated experiment over the whole codebook, a punctum for each ten codes in a volume that grows with them: blobs, noise."""
+    codes = frame(spark, d, "codebook").withColumn("code_id", F.col("code_id") - 1)  # the keys of part count from 1
+    n = codes.count() // 10
+    size = (2 * n, 40, 12)
+    truth = simulate.assign_codes(simulate.puncta(spark, n, size, 5), codes, 5)
+    return rounded(simulate.add_noise(simulate.render(truth, 4, size, seed=5), 50.0, seed=5), "value", digits=4)
