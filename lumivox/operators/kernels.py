@@ -13,8 +13,11 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.tables import keep
+
 Kernel = Callable[[np.ndarray], np.ndarray]
 
 
@@ -220,19 +223,67 @@ def phase_shift(base: np.ndarray, move: np.ndarray, reach: Sequence[int]) -> tup
     return tuple(int(lag[k]) for lag, k in zip(lags, peak))
 
 
-def harris(volume: np.ndarray, blur: int = 5, kappa: float = 1 / 27, quantile: float = 0.99, share: float = 0.01) -> np.ndarray:
-    """(y, x, z) from 0 of corners: det - kappa trace^2 of the smoothed gradient products, non-maxima suppressed."""
+def subpixel_shift(base: np.ndarray, move: np.ndarray, factor: int = 10) -> tuple[float, ...]:
+    """The shift of ``move`` against ``base`` to 1 / ``factor`` of a voxel, by the peak of their cross-correlation.
+
+    The whole-voxel peak comes from one inverse transform; around it, within one voxel,
+    the correlation is evaluated on the finer grid by one small matrix an axis.
+    """
+    cross = np.fft.fftn(base) * np.conj(np.fft.fftn(move))
+    surface = np.fft.ifftn(cross).real
+    coarse = [int(np.fft.fftfreq(n, 1 / n).round()[k]) for n, k in zip(base.shape, np.unravel_index(surface.argmax(), base.shape))]
+    grids, fine = [], cross
+    for n, c in zip(base.shape, coarse):
+        at = c + np.arange(-factor, factor + 1) / factor if n > 1 else np.array([float(c)])
+        waves = np.exp(2j * np.pi * np.outer(at, np.fft.fftfreq(n)))
+        # the axis in front is used up, its finer grid goes to the end
+        fine = np.tensordot(fine, waves, axes=(0, 1))
+        grids.append(at)
+    peak = np.unravel_index(fine.real.argmax(), fine.shape)
+    return tuple(float(g[k]) for g, k in zip(grids, peak))
+
+
+def correlation_shift(base: np.ndarray, move: np.ndarray, reach: int = 20) -> tuple[int, ...]:
+    """The whole-pixel shift of ``move`` against ``base``, within +-reach, of the highest normalised correlation.
+
+    Places outside ``base`` count 0; a window without variance correlates 0.
+    """
+    template = move - move.mean()
+    n, turned = template.size, template[(slice(None, None, -1),) * move.ndim]
+    ones = np.ones(move.shape)
+    total, squares = fft_convolve(base, ones), fft_convolve(base.astype(float) ** 2, ones)
+    spread = np.maximum(squares - total**2 / n, 0) * (template**2).sum()
+    score = fft_convolve(base, turned)
+    score = np.divide(score, np.sqrt(spread), out=np.zeros_like(score), where=spread > 1e-9 * max(float(spread.max()), 1e-300))
+    lags = np.indices(score.shape) - np.array([m - 1 for m in move.shape]).reshape(-1, *[1] * move.ndim)
+    score = np.where((np.abs(lags) <= reach).all(axis=0), score, -np.inf)
+    peak = np.unravel_index(score.argmax(), score.shape)
+    return tuple(int(k) - (m - 1) for k, m in zip(peak, move.shape))
+
+
+def harris_response(volume: np.ndarray, blur: int = 5, kappa: float = 1 / 27) -> np.ndarray:
+    """det - kappa trace^2 of the smoothed products of the gradient."""
     derive, smooth = np.array([-0.5, 0, 0.5]), np.array([0.25, 0.5, 0.25])
     gradient = [separable(volume, [derive if a == b else smooth for b in range(3)]) for a in range(3)]
     weights = [gaussian(blur, blur / 2 / 2.354)] * 3
     p = {(i, j): separable(gradient[i] * gradient[j], weights) for i in range(3) for j in range(i, 3)}
     xx, yy, zz, xy, xz, yz = p[0, 0], p[1, 1], p[2, 2], p[0, 1], p[0, 2], p[1, 2]
     det = xx * (yy * zz - yz**2) - xy * (xy * zz - yz * xz) + xz * (xy * yz - yy * xz)
-    response = det - kappa * (xx + yy + zz) ** 2
+    return det - kappa * (xx + yy + zz) ** 2
+
+
+def harris_reach(blur: int) -> int:
+    """Half the width of the window in which a corner must be the largest."""
+    return int(np.ceil(blur / 2 / 2.354))
+
+
+def harris(volume: np.ndarray, blur: int = 5, kappa: float = 1 / 27, quantile: float = 0.99, share: float = 0.01) -> np.ndarray:
+    """(y, x, z) from 0 of corners: places of largest response in their window, above a share of its quantile."""
+    response = harris_response(volume, blur, kappa)
     margin = int(0.1 * volume.shape[2])
     if margin:
         response[:, :, :margin] = response[:, :, -margin:] = 0
-    reach = int(np.ceil(blur / 2 / 2.354))
+    reach = harris_reach(blur)
     cube = [tuple(o) for o in (np.indices((2 * reach + 1,) * 3).reshape(3, -1).T - reach).tolist()]
     top = _extreme(response, cube, np.maximum, -np.inf)
     return np.argwhere((response == top) & (response > share * np.quantile(response, quantile)))
@@ -281,30 +332,130 @@ def descriptor(volume: np.ndarray, key: Sequence[int], half: int = 8, bins: int
     return np.minimum(np.rint(512 * out / np.linalg.norm(out)), 255).astype(np.int16)
 
 
-def map_blocks(voxels: DataFrame, kernel: Kernel, size: tuple[int, int, int], halo: int, keys: Sequence[str] = (), fill: float = 0.0) -> DataFrame:
-    """(keys, y, x, z, value): ``kernel`` over every block with its halo, the halo's own results left out.
+BLOCK = ("by", "bx", "bz")
 
-    Absent voxels read ``fill``; at the volume's border the kernel sees ``fill`` too.
-    """
-    spread = voxels
+
+def spread_blocks(voxels: DataFrame, size: Sequence[int], halo: int) -> DataFrame:
+    """Voxels with the numbers (by, bx, bz) of each block that holds them, or has them in its halo."""
     for a, n in zip("yxz", size):
         low, high = F.floor((F.col(a) - 1 - halo) / n), F.floor((F.col(a) - 1 + halo) / n)
-        spread = spread.withColumn(f"b{a}", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
+        voxels = voxels.withColumn(f"b{a}", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
+    return voxels
+
+
+def dense_block(
+    group: pd.DataFrame, number: Sequence[int], size: Sequence[int], halo: int, fill: float, extent: Sequence[int] | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """A block with its halo as an array, cut where the volume of ``extent`` ends, and the position of its first voxel."""
+    origin = np.array(number) * np.array(size) + 1 - halo
+    end = origin + np.array(size) + 2 * halo
+    if extent is not None:
+        origin, end = np.maximum(origin, 1), np.minimum(end, np.array(extent) + 1)
+    block = np.full(np.maximum(end - origin, 0), fill)
+    at = group[["y", "x", "z"]].to_numpy() - origin
+    inside = ((at >= 0) & (at < block.shape)).all(axis=1)
+    block[tuple(at[inside].T)] = group["value"].to_numpy()[inside]
+    return block, origin
+
+
+def _kinds(df: DataFrame, names: Sequence[str]) -> str:
+    return "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in names)
+
+
+def _cells(voxels: DataFrame, *names: str) -> DataFrame:
+    # aliases keep the columns of two tables of one origin apart
+    return voxels.select(*(F.col(c).alias(c) for c in names), *(F.col(a).cast("int").alias(a) for a in "yxz"), F.col("value").cast("double").alias("value"))
+
+
+def map_blocks(
+    voxels: DataFrame, kernel: Kernel, size: tuple[int, int, int], halo: int, keys: Sequence[str] = (), fill: float = 0.0,
+    extent: tuple[int, int, int] | None = None,
+) -> DataFrame:
+    """(keys, y, x, z, value): ``kernel`` over every block with its halo, the halo's own results left out.
+
+    Absent voxels read ``fill``.  Beyond the volume's border the kernel sees ``fill``, too,
+    unless ``extent`` (ny, nx, nz) is given: then its arrays end there and it pads by its own rule.
+    """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        origin = np.array([group["by"].iloc[0], group["bx"].iloc[0], group["bz"].iloc[0]]) * np.array(size) + 1 - halo
-        at = group[["y", "x", "z"]].to_numpy() - origin
-        block = np.full([n + 2 * halo for n in size], fill)
-        block[tuple(at.T)] = group["value"]
-        own = ((at >= halo) & (at < halo + np.array(size))).all(axis=1)
+        number = np.array([group[b].iloc[0] for b in BLOCK])
+        block, origin = dense_block(group, number, size, halo, fill, extent)
+        at = group[["y", "x", "z"]].to_numpy()
+        own = ((at - 1) // np.array(size) == number).all(axis=1)
+        if extent is not None:
+            own &= ((at >= 1) & (at <= np.array(extent))).all(axis=1)
         out = group.loc[own, [*keys, "y", "x", "z"]].copy()
-        out["value"] = kernel(block)[tuple(at[own].T)]
+        out["value"] = kernel(block)[tuple((at[own] - origin).T)] if own.any() else 0.0
         return out
 
-    kinds = "".join(f"{k} {voxels.schema[k].dataType.simpleString()}, " for k in keys)
-    schema = f"{kinds}y int, x int, z int, value double"
-    rows = spread.select(*keys, "by", "bx", "bz", F.col("y").cast("int"), F.col("x").cast("int"), F.col("z").cast("int"), F.col("value").cast("double"))
-    return rows.groupBy(*keys, "by", "bx", "bz").applyInPandas(run, schema)
+    rows = _cells(spread_blocks(voxels, size, halo), *keys, *BLOCK)
+    return rows.groupBy(*keys, *BLOCK).applyInPandas(run, f"{_kinds(voxels, keys)}y int, x int, z int, value double")
+
+
+def corners(
+    voxels: DataFrame, extent: tuple[int, int, int], size: tuple[int, int, int] = (128, 128, 32), keys: Sequence[str] = (), blur: int = 5,
+    kappa: float = 1 / 27, quantile: float = 0.99, share: float = 0.01,
+) -> DataFrame:
+    """(keys, y, x, z, value): corners of every dense volume, as ``harris`` finds them in one array.
+
+    Responses come block by block, each volume's quantile by one aggregation, the largest of a window axis by axis.
+    """
+    response = map_blocks(voxels, lambda b: harris_response(b, blur, kappa), size, blur // 2 + 2, keys, extent=extent)
+    margin = int(0.1 * extent[2])
+    if margin:
+        response = response.withColumn("value", F.when(F.col("z").between(margin + 1, extent[2] - margin), F.col("value")).otherwise(0.0))
+    response = keep(response)
+    least = response.groupBy(*keys).agg((share * F.percentile("value", quantile)).alias("_least"))
+    reach, top = harris_reach(blur), response.withColumn("_top", F.col("value"))
+    for a in "yxz":
+        line = W.partitionBy(*keys, *(b for b in "yxz" if b != a)).orderBy(a).rangeBetween(-reach, reach)
+        top = top.withColumn("_top", F.max("_top").over(line))
+    top = top.filter(F.col("value") == F.col("_top"))
+    met = top.join(least, list(keys)) if keys else top.join(F.broadcast(least))
+    return met.filter(F.col("value") > F.col("_least")).drop("_top", "_least")
+
+
+def descriptors(
+    points: DataFrame, voxels: DataFrame, extent: tuple[int, int, int], size: tuple[int, int, int] = (64, 64, 32), keys: Sequence[str] = (),
+    half: int = 8, bins: int = 2, clip: float = 0.2,
+) -> DataFrame:
+    """(keys, y, x, z, ivec): the descriptor of every point, each computed in the block that holds it."""
+    home = points.select(*(F.col(c).alias(c) for c in keys), *(F.col(a).cast("int").alias(a) for a in "yxz")).distinct()
+    home = home.withColumns({f"b{a}": F.floor((F.col(a) - 1) / n).cast("int") for a, n in zip("yxz", size)})
+    rows = _cells(spread_blocks(voxels, size, half + 1), *keys, *BLOCK).join(home.select(*keys, *BLOCK).distinct(), [*keys, *BLOCK], "left_semi")
+
+    def run(own: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
+        number = [own[b].iloc[0] for b in BLOCK] if len(own) else []
+        out = own[[*keys, "y", "x", "z"]].copy()
+        if len(own):
+            block, origin = dense_block(group, number, size, half + 1, 0.0, extent)
+            places = own[["y", "x", "z"]].to_numpy() - origin
+            out["ivec"] = [descriptor(block, p, half, bins, clip).astype(float).tolist() for p in places]
+        else:
+            out["ivec"] = []
+        return out
+
+    schema = f"{_kinds(points, keys)}y int, x int, z int, ivec array<double>"
+    return home.groupBy(*keys, *BLOCK).cogroup(rows.groupBy(*keys, *BLOCK)).applyInPandas(run, schema)
+
+
+def volume_shifts(
+    base: DataFrame, move: DataFrame, by: Sequence[str], extent: tuple[int, int, int], shift: Callable[[np.ndarray, np.ndarray], Sequence[float]]
+) -> DataFrame:
+    """(by, dy, dx, dz): ``shift`` (such as ``phase_shift``) of the two volumes of each group; groups in one table only are left out.
+
+    A transform needs its whole volume, so one task takes one pair of volumes.
+    """
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame(columns=[*by, "dy", "dx", "dz"])
+        one, two = (dense_block(g, (0, 0, 0), extent, 0, 0.0, extent)[0] for g in (a, b))
+        found = shift(one, two)
+        return pd.DataFrame([{c: a[c].iloc[0] for c in by} | {f"d{k}": float(v) for k, v in zip("yxz", found)}])
+
+    pair = _cells(base, *by).groupBy(*by).cogroup(_cells(move, *by).groupBy(*by))
+    return pair.applyInPandas(run, f"{_kinds(base, by)}dy double, dx double, dz double")
 
 
 def otsu_threshold(voxels: DataFrame, bins: int = 256, value: str = "value") -> float | None:

@@ -17,23 +17,25 @@ from ..functions.tables import keep
 FIXED_BLOCK = 4096
 
 
-def two_nearest(moving: DataFrame, fixed: DataFrame, vector: str = "ivec", key: str = "key_id") -> DataFrame:
+def two_nearest(moving: DataFrame, fixed: DataFrame, vector: str = "ivec", key: str = "key_id", by: Sequence[str] = ()) -> DataFrame:
     """(m_id, f_id, d1, d2): the nearest fixed descriptor of each moving one and the two least squared distances.
 
     Both sides are packed into blocks; each pair of blocks is a task row that a matrix
     product answers, and only two candidates a descriptor and block travel on.  Ties go
-    to the smaller id; d2 is null where there is one fixed descriptor only.
+    to the smaller id; d2 is null where there is one fixed descriptor only.  With ``by``
+    descriptors meet those of their own group; keys are unique over all groups.
     """
 
     def packed(df: DataFrame, name: str) -> DataFrame:
-        blocks = max(1, -(-df.count() // FIXED_BLOCK))
-        spread = df.select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda v: v.cast("double")).alias("v"))
+        largest = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        blocks = max(1, -(-largest // FIXED_BLOCK))
+        spread = df.select(*by, F.col(key).cast("long").alias("id"), F.transform(vector, lambda v: v.cast("double")).alias("v"))
         spread = spread.withColumn(name, F.pmod(F.xxhash64("id"), F.lit(blocks)))
-        return spread.groupBy(name).agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias(f"rows_{name}")), blocks
+        return spread.groupBy(*by, name).agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias(f"rows_{name}")), blocks
 
     left, n_left = packed(moving, "m")
     right, _ = packed(fixed, "f")
-    pairs = right.withColumn("m", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_left - 1).cast("long")))).join(left, "m")
+    pairs = right.withColumn("m", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_left - 1).cast("long")))).join(left, [*by, "m"])
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

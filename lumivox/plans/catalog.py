@@ -688,12 +688,6 @@ def _volume(spark, d):
     return volume.sum_channels(frame(spark, d, "voxels"), volume.AXES).withColumn("value", F.col("value").cast("double"))
 
 
-@query()
-def dog_blocks(spark, d):
-    """Difference of Gaussians over haloed blocks."""
-    return rounded(kernels.map_blocks(_volume(spark, d), lambda b: kernels.dog(b, mode="constant"), (25, 12, 7), 6), "value", digits=4)
-
-
 @query()
 def open_sphere_blocks(spark, d):
     return kernels.map_blocks(_volume(spark, d), lambda b: kernels.open_sphere(b, 2), (25, 12, 7), 4)
