@@ -75,6 +75,37 @@ def clamp_shift(shift: Column, limit: float) -> Column:
     return F.greatest(F.lit(-limit), F.least(F.lit(limit), shift))
 
 
+def fma(a: Column, b: Column, c: Column) -> Column:
+    """a * b + c of doubles, rounded once; where a factor is beyond 2**996 or not finite, rounded twice."""
+
+    def halves(x: Column) -> tuple[Column, Column]:
+        far = x * 134217729.0
+        high = far - (far - x)
+        return high, x - high
+
+    (ah, al), (bh, bl) = halves(a), halves(b)
+    product = a * b
+    lost = ((ah * bh - product) + ah * bl + al * bh) + al * bl  # a * b is product + lost
+    total = product + c
+    part = total - product
+    rest = (product - (total - part)) + (c - part)  # product + c is total + rest
+    once = total + (rest + lost)
+    return F.when(F.isnan(once), total).otherwise(once)
+
+
+def linear_percentile(ordered: Column, p: float) -> Column:
+    """Percentile of a sorted array of doubles: position (n - 1) p between its values from 0; null if it has none.
+
+    Between neighbours it is low * (1 - d) + high * d with the last step rounded once, as
+    DuckDB's ``quantile_cont`` has it: channels that tie there tie here, to the last bit.
+    """
+    at = (F.size(ordered) - 1) * F.lit(float(p))
+    low = F.floor(at)
+    d = at - low
+    share = F.when(d == 0, 0.0).otherwise(F.get(ordered, F.ceil(at).cast("int")) * d)  # an infinite value at d = 0 counts once
+    return fma(F.get(ordered, low.cast("int")), 1 - d, share)
+
+
 def midpoint_percentile(values: Column, p: float) -> Column:
     """Percentile of an array by mid-points: position n p + 0.5 between sorted values, held within 1..n."""
     ordered = F.array_sort(values)

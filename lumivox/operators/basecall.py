@@ -7,18 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import CHANNELS, midpoint_percentile
+from ..functions.exprs import CHANNELS, linear_percentile, midpoint_percentile
 
 
 def channel_percentiles(
     pixels: DataFrame, keys: Sequence[str], values: Sequence[str] = CHANNELS, p: float = 0.9, method: str = "linear"
 ) -> DataFrame:
-    """(keys, p1..pN): the percentile of each channel's pixels; ``linear`` runs over n - 1 steps, ``midpoint`` over n."""
-    if method == "midpoint":
-        cols = [midpoint_percentile(F.collect_list(F.col(v).cast("double")), p) for v in values]
-    else:
-        cols = [F.percentile(v, p) for v in values]
-    return pixels.groupBy(*keys).agg(*(c.alias(f"p{k}") for k, c in enumerate(cols, 1)))
+    """(keys, p1..pN): the percentile of each channel's pixels; ``linear`` runs over n - 1 steps, ``midpoint`` over n.
+
+    The pixels of one punctum and round (one group of ``keys``) stand in arrays, one for each channel.
+    """
+    percentile = midpoint_percentile if method == "midpoint" else linear_percentile
+    names = [f"p{k}" for k in range(1, len(values) + 1)]
+    lists = pixels.groupBy(*keys).agg(*(F.sort_array(F.collect_list(F.col(v).cast("double"))).alias(n) for v, n in zip(values, names)))
+    return lists.select(*keys, *(percentile(F.col(n), p).alias(n) for n in names))
 
 
 def argmax_call(values: Sequence[Column]) -> Column:
