@@ -25,7 +25,7 @@ ROWS = [
     (7, 1, 19.0, 281.5, 0.0, 0.0),
     (7, 5, 26.0, 521.5, 0.0, 0.0),
 ]
-NAMES = ["base_call", "base_percentages_overall", "bleed_correction", "cutoff_calls"]
+NAMES = ["base_call", "base_percentages_overall", "bleed_correction", "cutoff_calls", "base_percentages"]
 
 
 @pytest.mark.parametrize("name", NAMES)
