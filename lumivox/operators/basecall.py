@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.exprs import CHANNELS, linear_percentile, midpoint_percentile
@@ -33,15 +35,15 @@ def argmax_call(values: Sequence[Column]) -> Column:
 def base_calls(
     pixels: DataFrame, keys: Sequence[str] = ("puncta_id", "round"), values: Sequence[str] = CHANNELS, p: float = 0.9, method: str = "linear"
 ) -> DataFrame:
-    """(keys, p1..pN, base): one call for each punctum and round.
+    """(keys, p1..pN, base): one call for each punctum and round; a missing key (null) is one, too.
 
     A missing pixel value (null) in any channel makes the call 0.
     """
-    keys = list(keys)
-    junk = pixels.groupBy(*keys).agg(F.bool_or(F.exists(F.array(*values), lambda v: v.isNull())).alias("junk"))
-    called = channel_percentiles(pixels, keys, values, p, method).join(junk, keys)
+    junk = pixels.filter(F.exists(F.array(*values), lambda v: v.isNull())).select(*(F.col(k).alias(f"__{k}") for k in keys)).distinct()
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
+    called = channel_percentiles(pixels, keys, values, p, method).join(junk.withColumn("__junk", F.lit(True)), same, "left")
     base = argmax_call([F.col(f"p{k}") for k in range(1, len(values) + 1)])
-    return called.withColumn("base", F.when(F.col("junk"), 0).otherwise(base)).drop("junk")
+    return called.withColumn("base", F.when(F.col("__junk"), 0).otherwise(base)).drop("__junk", *(f"__{k}" for k in keys))
 
 
 def cutoff_calls(pixels: DataFrame, cutoffs: Sequence[float], keys: Sequence[str] = ("puncta_id", "round"), p: float = 0.99) -> DataFrame:
@@ -75,11 +77,10 @@ def complete_reads(reads: DataFrame) -> DataFrame:
 
 
 def base_percentages(calls: DataFrame, by: Sequence[str] = ("round",)) -> DataFrame:
-    """(by, base, n, fraction): share of each base among calls above 0."""
+    """(by, base, n, fraction): share of each base among calls above 0; a missing ``by`` (null) is a group, too."""
     counted = calls.filter(F.col("base") > 0).groupBy(*by, "base").agg(F.count("*").alias("n"))
-    total = counted.groupBy(*by).agg(F.sum("n").alias("total")) if by else counted.agg(F.sum("n").alias("total"))
-    joined = counted.join(total, list(by)) if by else counted.join(F.broadcast(total))
-    return joined.select(*by, "base", "n", (F.col("n") / F.col("total")).alias("fraction"))
+    total = F.sum("n").over(W.partitionBy(*by))
+    return counted.select(*by, "base", "n", (F.col("n") / total).alias("fraction"))
 
 
 def entropy(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:

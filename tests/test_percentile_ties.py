@@ -39,6 +39,18 @@ def test_ties_between_channels_are_called_as_in_sql(spark, tmp_path, name):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_puncta_without_a_key_are_called_as_in_sql(spark, tmp_path, name):
+    rows = [*ROWS, (None, 1, 36.0, 78377.86, 0.06, 0.01), (None, 1, 30.0, 72550.77, 0.1, 0.01), (None, 3, 29.0, 52708.44, 0.05, 0.03), (8, None, 13.0, 8745.92, 0.07, 0.02)]
+    columns = "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double"
+    spark.createDataFrame(rows, columns).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    got = __spark_entry__.queries()[name](spark, str(tmp_path))
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({__spark_entry__.oracle_sql()[name]})").fetchall()
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
 @pytest.mark.parametrize("p", [0.0, 0.3, 0.9, 0.99, 1.0])
 def test_percentiles_equal_sql_to_the_last_bit(spark, p):
     rng = random.Random(5)
@@ -49,3 +61,10 @@ def test_percentiles_equal_sql_to_the_last_bit(spark, p):
     con = duckdb.connect()
     con.execute("CREATE TABLE t AS SELECT unnest(?::INT[]) AS k, unnest(?::DOUBLE[]) AS v", [list(c) for c in zip(*rows)])
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, con.execute(f"SELECT k, quantile_cont(v, {p}) FROM t GROUP BY k").fetchall()))
+
+
+def test_a_missing_pixel_makes_the_call_0(spark):
+    rows = [(1, 1, 5, 1, 1, 1), (1, 1, None, 1, 1, 1), (2, 1, 5, 1, 1, 1), (None, 1, 1, 7, None, 1), (None, 2, 1, 7, 1, 1)]
+    got = basecall.base_calls(spark.createDataFrame(rows, "puncta_id long, round int, c1 long, c2 long, c3 long, c4 long"))
+    assert sorted(map(str, map(tuple, got.select("puncta_id", "round", "base").collect()))) == ["(1, 1, 0)", "(2, 1, 1)", "(None, 1, 0)", "(None, 2, 2)"]
+    assert got.columns == ["puncta_id", "round", "p1", "p2", "p3", "p4", "base"]
