@@ -32,8 +32,13 @@ BROADCAST_SOURCES = 20_000
 
 
 def word_count(text: str = "text"):
-    """Number of ``[^\\x20\\x09-\\x0D]+``; 0 for null."""
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    """Number of ``[^\\x20\\x09-\\x0D]+``; 0 for null.
+
+    Each word, with the space after it, becomes one sign of a string: ``regexp_count``
+    holds an object for every word of a text, many times the text itself.
+    """
+    signs = F.regexp_replace(F.ltrim(F.col(text), F.lit(" \t\n\v\f\r")), r"[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+", "x")
+    return F.coalesce(F.length(signs), F.lit(0)).cast("long")
 
 
 def quality_weight(text: str = "text"):

@@ -121,3 +121,12 @@ def test_sources_beyond_the_broadcast_bound(spark, monkeypatch):
     a = sorted(map(tuple, mixing.mix_sources(docs(spark, data)).select("doc_id", "taken").collect()))
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
     assert a == sorted(map(tuple, mixing.mix_sources(docs(spark, data)).select("doc_id", "taken").collect()))
+
+
+def test_words_are_counted_without_a_list_of_them(spark):
+    rng = random.Random(9)
+    texts = [None, "", " ", "\n \t", "a", " a", "a\n", "\x0b\x0ca\r", "é b c d", "\U0001f600 x\x00y \x1c z"]
+    texts += ["".join(rng.choice("ab é\U0001f600\x00\x1f\x85  \t\n\x0b\x0c\r") for _ in range(60)) for _ in range(200)]
+    counted = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("size", mixing.word_count())
+    assert {r["doc_id"]: r["size"] for r in counted.collect()} == {k: len(SPACED.findall(t or "")) for k, t in enumerate(texts)}
+    assert "regexp_extract_all" not in counted._jdf.queryExecution().executedPlan().toString()
