@@ -68,3 +68,15 @@ def test_a_missing_pixel_makes_the_call_0(spark):
     got = basecall.base_calls(spark.createDataFrame(rows, "puncta_id long, round int, c1 long, c2 long, c3 long, c4 long"))
     assert sorted(map(str, map(tuple, got.select("puncta_id", "round", "base").collect()))) == ["(1, 1, 0)", "(2, 1, 1)", "(None, 1, 0)", "(None, 2, 2)"]
     assert got.columns == ["puncta_id", "round", "p1", "p2", "p3", "p4", "base"]
+
+
+def test_a_tie_among_five_pixels_is_called_as_in_sql(spark, tmp_path):
+    rows = [(117273, 4, 44.0, 70591.86, 0.03, 0.02), (117273, 4, 15.0, 24836.01, 0.05, 0.02), (117273, 4, 15.0, 49881.85, 0.03, 0.01)]
+    rows += [(117273, 4, 43.0, 87018.24, 0.05, 0.06), (117273, 4, 39.0, 103439.05, 0.08, 0.05)]
+    columns = "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double"
+    spark.createDataFrame(rows, columns).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    got = __spark_entry__.queries()["cutoff_calls"](spark, str(tmp_path))
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({__spark_entry__.oracle_sql()['cutoff_calls']})").fetchall()
+    assert list(map(tuple, got.collect())) == want
