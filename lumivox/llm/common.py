@@ -7,13 +7,14 @@ byte of a non-ASCII character belongs to a word.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at once by the numpy kernels; bounds their working memory.
@@ -48,10 +49,17 @@ def shared_folder(spark: SparkSession) -> str:
 _scopes: list[list[str]] = []
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage into the shared checkpoint folder."""
+def materialize(df: DataFrame, counted: bool = False) -> DataFrame:
+    """Cut the lineage into the shared checkpoint folder.
+
+    ``counted``: rows are counted as they are written, so that ``at_most`` needs no job;
+    every job costs the driver, by its stages, tasks and broadcasts.
+    """
     shared_folder(df.sparkSession)
-    out = df.checkpoint(eager=True)
+    seen = Observation() if counted else None
+    out = (df.observe(seen, F.count(F.lit(1)).alias("rows")) if seen else df).checkpoint(eager=True)
+    if seen:
+        out._counted_rows = seen.get.get("rows")
     if _scopes:
         file = out._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
         if file.isDefined():
@@ -59,6 +67,21 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def at_most(df: DataFrame, rows: int) -> bool:
+    """Whether ``df`` has no more than ``rows`` rows; by a job, unless ``materialize`` has counted them."""
+    known = vars(df).get("_counted_rows")
+    return (df.count() if known is None else known) <= rows
+
+
+def release_memory() -> None:
+    """Gives back what this Python process holds of finished work: the kernel's tables, Arrow's pool and the C heap."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder wherever Spark's file systems reach; one that is gone already is fine."""
     jvm = spark.sparkContext._jvm

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import at_most, materialize
 
 #: Edges that a task contracts at once; as many stars as that are finished in one task of bounded size.
 _LOCAL_EDGES = 1 << 19
@@ -70,9 +70,9 @@ def components(edges: DataFrame) -> DataFrame:
     back, and skewed joins are split.  As soon as no more edges are left than a task
     contracts at once, one task does the rest.  Lineage is cut in the shared checkpoint folder.
     """
-    star = materialize(edges.filter("a <> b").select("a", "b").mapInArrow(_contract, "a long, b long").distinct())
+    star = materialize(edges.filter("a <> b").select("a", "b").mapInArrow(_contract, "a long, b long").distinct(), counted=True)
     mark = None
-    while star.count() > _LOCAL_EDGES:
+    while not at_most(star, _LOCAL_EDGES):
         both = star.unionAll(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, F.col("a") == F.col("u")).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -82,7 +82,8 @@ def components(edges: DataFrame) -> DataFrame:
         star = materialize(
             small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionAll(small.select("a", F.col("m").alias("b")))
-            .distinct()
+            .distinct(),
+            counted=True,
         )
         now = star.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == mark:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import at_most, materialize, table
 
 #: Weights of the sources by code point, repeating; total share of all sizes; most times a source is taken.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
@@ -104,8 +104,8 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 def small(by_source: DataFrame) -> DataFrame:
     """A table of one row a source, cut from its lineage, and marked for broadcast if its counted rows allow that."""
-    by_source = materialize(by_source)
-    return F.broadcast(by_source) if by_source.count() <= BROADCAST_SOURCES else by_source
+    by_source = materialize(by_source, counted=True)
+    return F.broadcast(by_source) if at_most(by_source, BROADCAST_SOURCES) else by_source
 
 
 def _edges(bins: DataFrame, plan: DataFrame) -> DataFrame:

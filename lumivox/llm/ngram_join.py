@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, arrow_rows, map_texts, materialize, mix, table, text_chunks, word_bounds, word_hashes
+from .common import SPACED, arrow_rows, at_most, map_texts, materialize, mix, table, text_chunks, word_bounds, word_hashes
 from .graph import components
 
 WORDS = 5
@@ -436,7 +436,7 @@ def candidate_edges(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def few(df: DataFrame) -> DataFrame:
     """``df``, marked for broadcast if its counted rows allow that."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if at_most(df, BROADCAST_ROWS) else df
 
 
 def cluster_sets(docs: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -448,8 +448,8 @@ def cluster_sets(docs: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFra
     found = nodes.join(survivors, "node").join(components(edges).withColumnRenamed("component", "cluster"), "node")
     found = materialize(found)
     sizes = found.groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("size")).filter("m > 1")
-    sizes = materialize(sizes.select("cluster", _blocks(F.col("size"), F.col("m")).alias("blocks")))
-    wanted = materialize(found.join(few(sizes), "cluster").select("doc_id", "node", "cluster", "blocks"))
+    sizes = materialize(sizes.select("cluster", _blocks(F.col("size"), F.col("m")).alias("blocks")), counted=True)
+    wanted = materialize(found.join(few(sizes), "cluster").select("doc_id", "node", "cluster", "blocks"), counted=True)
     columns = ("node", "cluster", "blocks", "text")
     texts = docs.select("doc_id", "text").join(few(wanted), "doc_id").select(*columns)
     nameless = wanted.filter(F.col("doc_id").isNull()).drop("doc_id")
@@ -480,10 +480,10 @@ def _block_links(sets: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
     """(links inside blocks, central sets of the blocks of clusters of several blocks, with their own number of blocks)."""
     dealt = sets.withColumn("i", _deal("node", F.col("blocks"), level))
     found = _joined(dealt.select("cluster", "i", F.lit(0).alias("j"), "node", F.col("node").alias("comp"), F.lit(True).alias("walks"), "tokens"))
-    central = few(found.filter("central").select(F.col("a").alias("node")).distinct())
+    central = few(materialize(found.filter("central").select(F.col("a").alias("node")).distinct(), counted=True))
     chosen = materialize(sets.filter("blocks > 1").join(central, "node", "left_semi").drop("blocks"))
     sizes = chosen.groupBy("cluster").agg(_blocks(F.sum("n"), F.count("*")).alias("blocks"))
-    return found.filter("not central").select("a", "b"), chosen.join(few(materialize(sizes)), "cluster")
+    return found.filter("not central").select("a", "b"), chosen.join(few(materialize(sizes, counted=True)), "cluster")
 
 
 def _rest_links(sets: DataFrame, edges: DataFrame, links: DataFrame) -> DataFrame | None:
@@ -509,7 +509,7 @@ def _rest_links(sets: DataFrame, edges: DataFrame, links: DataFrame) -> DataFram
     slim = materialize(slim)
     parts = slim.groupBy("cluster", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("size"))
     largest = parts.groupBy("cluster").agg(F.max(F.struct("size", "comp")).alias("x")).select("cluster", F.col("x.comp").alias("main"))
-    sized = parts.join(few(materialize(largest)), "cluster").withColumn("inside", F.col("comp") == F.col("main"))
+    sized = parts.join(few(materialize(largest, counted=True)), "cluster").withColumn("inside", F.col("comp") == F.col("main"))
     total = lambda inside, column: F.coalesce(F.sum(F.when(F.col("inside") == inside, F.col(column))), F.lit(0))
     plan = (
         sized.groupBy("cluster", "main")
@@ -520,7 +520,7 @@ def _rest_links(sets: DataFrame, edges: DataFrame, links: DataFrame) -> DataFram
     # blocks 0 to q - 1 hold the sets outside the largest component, -1 to -p those of it; a group is two blocks
     inside = F.col("comp") == F.col("main")
     placed = materialize(
-        slim.join(few(materialize(plan)), "cluster")
+        slim.join(few(materialize(plan, counted=True)), "cluster")
         .withColumn("own", F.when(inside, -1 - _deal("node", F.col("p"))).otherwise(_deal("node", F.col("q"))))
         .select("node", "cluster", "comp", "own", "p", "q")
     )
@@ -577,7 +577,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows, labelled = _rows_and_members(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     # components of one set need no name but their own; the others' names meet their sets by broadcast, so a large one stays spread
     names = labelled.groupBy("component").agg(F.count("*").alias("m"), F.min("doc_id").alias("component_id")).filter("m > 1")
-    names = materialize(names.select("component", "component_id"))
+    names = materialize(names.select("component", "component_id"), counted=True)
     named = labelled.join(few(names), "component", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
     return rows.join(named, "node", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
@@ -605,19 +605,18 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     named = rows.filter("n_shingles > 0").join(labelled.select("node", "component"), "node").select("doc_id", "node", "component").distinct()
     named = materialize(named)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node"))
-    keepers = materialize(named.groupBy("component").agg(first.alias("keep"), F.count("*").alias("m")).filter("m > 1").drop("m"))
+    keepers = materialize(named.groupBy("component").agg(first.alias("keep"), F.count("*").alias("m")).filter("m > 1").drop("m"), counted=True)
     gone = named.join(few(keepers), "component").filter(
         ~(F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("node") == F.col("keep.node")))
     )
     gone = materialize(gone.select("doc_id", "node"))
     # ids of one row are decided by the id; texts are looked at again only for the others
-    several = materialize(rows.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
-    by_id = gone.filter("doc_id is not null").join(several, "doc_id", "left_anti").select("doc_id")
+    several = materialize(rows.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), counted=True)
     own = F.col("doc_id").cast("long")
     single = docs.filter(own.isNotNull())
     match = lambda df, other: df["doc_id"].cast("long") == other["doc_id"]
     repeated = few(several)
-    by_id = few(by_id)
+    by_id = few(materialize(gone.filter("doc_id is not null").join(repeated, "doc_id", "left_anti").select("doc_id"), counted=True))
     kept = single.join(by_id, match(single, by_id), "left_anti")
     if several.isEmpty() and rows.filter("doc_id is null").isEmpty():
         return kept

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, is_held_out, map_texts, table, text_chunks, word_bounds, word_hashes
+from .common import SPACED, is_held_out, map_texts, release_memory, table, text_chunks, word_bounds, word_hashes
 
 #: Bounds of the training sample: labelled rows, and code points of all its texts together.
 SAMPLE_ROWS, SAMPLE_CHARS = 4000, 16_000_000
@@ -314,7 +314,9 @@ def score_quality(
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> ChainModel:
     """The chain model of ``labels.quality``, from a bounded sample of rows that aren't held out."""
-    return train(*labelled_sample(docs, labels, "quality", rows, chars))
+    model = train(*labelled_sample(docs, labels, "quality", rows, chars))
+    release_memory()
+    return model
 
 
 def op2_quality_classifier(spark, sf_dir: str) -> DataFrame:
